@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import tokencount, urlfilter, warc
+from tessera.llm import packing, quality, tokencount, tokenids, urlfilter, warc
 
 #: The vocabulary whose ids and counts the queries return.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -26,12 +26,25 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.measure(_table(spark, sf_dir, "documents")).select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenids.write_matrices(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+    return tokenids.read_segments(spark, files)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op5_url_filter, op7_token_counts)}
+    return {f.__name__: f for f in (op1_warc, op5_url_filter, op6_quality_rules, op7_token_counts, op8_packing, op10_token_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
