@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import packing, quality, tokencount, tokenids, urlfilter, warc
+from tessera.llm import packing, quality, simhash, tokencount, tokenids, urlfilter, warc
 
 #: The vocabulary whose ids and counts the queries return.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -22,6 +22,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -44,7 +48,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op5_url_filter, op6_quality_rules, op7_token_counts, op8_packing, op10_token_ids)}
+    return {f.__name__: f for f in (op1_warc, op3_simhash, op5_url_filter, op6_quality_rules, op7_token_counts, op8_packing, op10_token_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
