@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import packing, quality, simhash, tokencount, tokenids, urlfilter, warc
+from tessera.llm import packing, quality, simhash, substrings, tokencount, tokenids, urlfilter, warc
 
 #: The vocabulary whose ids and counts the queries return.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -42,17 +42,21 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(spark, _table(spark, sf_dir, "documents"))
+
+
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tokenids.write_matrices(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
     return tokenids.read_segments(spark, files)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op3_simhash, op5_url_filter, op6_quality_rules, op7_token_counts, op8_packing, op10_token_ids)}
+    return {f.__name__: f for f in (op1_warc, op3_simhash, op5_url_filter, op6_quality_rules, op7_token_counts, op8_packing, op9_substrings, op10_token_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL}
+    return {"op1_warc": OP1_SQL, "op9_substrings": OP9_SQL}
 
 
 OP1_SQL = """
@@ -64,3 +68,15 @@ select d.page_id, cast(d.n as bigint) as payload_bytes, d.digest as payload_dige
        case when m.top <> d.page_id then m.top end as refers_to
 from d left join m on m.digest = d.digest and m.n = d.n
 """
+
+OP9_SQL = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+     p as (select doc_id, i, array_to_string(ws[i:i + 12], ' ') as k from (select *, unnest(range(1, len(ws) - 11)) as i from w)),
+     m as (select k, min(doc_id) as least from p group by k),
+     hit as (select doc_id, i from p join m using (k) where doc_id > least),
+     gone as (select distinct doc_id, i + unnest(range(0, 13)) as i from hit),
+     g as (select doc_id, count(*) as n, list(i) as gone from gone group by doc_id)
+select w.doc_id, cast(len(ws) as bigint) as n_words, coalesce(n, 0) as n_removed,
+       sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(ws) + 1), lambda i: gone is null or not list_contains(gone, i)), lambda i: ws[i]), ' '), '')) as kept_sha256
+from w left join g on g.doc_id = w.doc_id
+"""
