@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontam, packing, quality, simhash, substrings, tokencount, tokenids, urlfilter, warc
+from tessera.llm import decontam, licenses, packing, quality, simhash, substrings, tokencount, tokenids, urlfilter, warc
 
 #: The vocabulary whose ids and counts the queries return.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -22,6 +22,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark, _table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
 
@@ -56,11 +60,11 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op3_simhash, op4_decontamination, op5_url_filter, op6_quality_rules, op7_token_counts, op8_packing, op9_substrings, op10_token_ids)}
+    return {f.__name__: f for f in (op1_warc, op2_licenses, op3_simhash, op4_decontamination, op5_url_filter, op6_quality_rules, op7_token_counts, op8_packing, op9_substrings, op10_token_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op4_decontamination": OP4_SQL, "op9_substrings": OP9_SQL}
+    return {"op1_warc": OP1_SQL, "op2_licenses": licenses.oracle(), "op4_decontamination": OP4_SQL, "op9_substrings": OP9_SQL}
 
 
 OP1_SQL = """
