@@ -1,19 +1,462 @@
-"""The query catalogue: each entry runs one operator over whole tables."""
+"""The query catalogue: each entry applies operators to whole tables; `oracle_sql` has the same result as DuckDB SQL.
+
+Where an operator needs rows that the tables lack (images, prompts, annotations), they are derived from the tables by a
+stated rule, the same in both forms.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
+from tessera.functions import jsontext, validate
+from tessera.functions import text as T
+from tessera.operators import annotate, collect, dataset, evaluate, html, metrics, sft, taxonomy
+from tessera.sources import readers
+from tessera.sources.connectors import WordTokenizer
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+DOMAINS = (*collect.EXCLUDED_DOMAINS, "example.net")
+CAP = 100
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLE: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def register(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _ORACLE[f.__name__] = sql
+        return f
+
+    return register
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLE)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _docs(spark, sf_dir):
+    return _table(spark, sf_dir, "documents")
+
+
+# Collection and cleaning
+
+_STRIPPED = f"select doc_id, {T.ws_sql('text')} as t from documents"
+_UNIQUE = f"select min(doc_id) as doc_id, md5(t) as text_md5, cast(length(t) as bigint) as n_chars from ({_STRIPPED}) where t <> '' group by t"
+
+
+@_query(f"""select coalesce(nullif(case when doc_id % 3 = 0 then cast(doc_id as varchar) else '' end, ''), nullif(case when doc_id % 3 = 1 then source end, ''), 'line_' || (doc_id + 1)) as item_id,
+doc_id, md5(t) as text_md5 from (select doc_id, source, {T.ws_sql('text')} as t from documents) where t <> ''""")
+def text_items_load(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    ident = F.when(F.col("doc_id") % 3 == 0, F.col("doc_id").cast("string")).otherwise("")
+    source = F.when(F.col("doc_id") % 3 == 1, F.col("source"))
+    rows = d.select(readers.item_id(ident, source, F.col("doc_id") + 1).alias("item_id"), "doc_id", T.strip("text").alias("t")).where("t <> ''")
+    return rows.select("item_id", "doc_id", F.md5("t").alias("text_md5"))
+
+
+@_query(_UNIQUE)
+def text_dedup(spark, sf_dir):
+    return collect.unique_texts(_docs(spark, sf_dir), "text", "doc_id")
+
+
+@_query(f"{_UNIQUE} order by doc_id limit {CAP}")
+def text_dedup_size_cap(spark, sf_dir):
+    return collect.capped(collect.unique_texts(_docs(spark, sf_dir), "text", "doc_id"), CAP, "doc_id")
+
+
+@_query(f"select text from documents where lang = 'none' union all select '{collect.PLACEHOLDER}' as text where not exists (select 1 from documents where lang = 'none')")
+def collect_placeholder(spark, sf_dir):
+    return collect.or_placeholder(_docs(spark, sf_dir).where("lang = 'none'"))
+
+
+def _excluded_sql(host: str) -> str:
+    return "coalesce(" + " or ".join(f"{host} = '{d}' or ends_with({host}, '.{d}')" for d in DOMAINS) + ", false)"
+
+
+@_query(f"select page_id, host, {_excluded_sql('host')} as excluded from (select page_id, {T.bare_host_sql('url')} as host from pages)")
+def url_host_excluded(spark, sf_dir):
+    p = _table(spark, sf_dir, "pages")
+    return p.select("page_id", F.coalesce(T.bare_host("url"), F.lit("")).alias("host"), collect.is_excluded("url", DOMAINS).alias("excluded"))
+
+
+@_query(f"""with h as (select {T.bare_host_sql('url')} as query, page_id as rank, url as link from pages),
+h2 as (select * from h union all select query, rank + 10000000, link from h),
+f as (select *, row_number() over (partition by query, link order by rank) as n from h2 where link <> '' and not {_excluded_sql('query')}),
+t as (select query, rank, link, row_number() over (partition by query order by rank) as n from f where n = 1)
+select query, rank, link from t where n <= 5""")
+def url_dedup_topn(spark, sf_dir):
+    h = _table(spark, sf_dir, "pages").select(T.bare_host("url").alias("query"), F.col("page_id").alias("rank"), F.col("url").alias("link"))
+    twice = h.unionByName(h.withColumn("rank", F.col("rank") + 10_000_000))
+    return collect.first_hits(twice, 5, DOMAINS)
+
+
+@_query(f"select source as query, source || '{''.join(f' -site:{d}' for d in collect.EXCLUDED_DOMAINS)}' as rewritten, min(doc_id) as q_ord from documents group by source")
+def search_query_rewrite(spark, sf_dir):
+    q = collect.distinct_queries(_docs(spark, sf_dir).select(F.col("source").alias("query"), F.col("doc_id").alias("q_ord")))
+    return q.select("query", collect.search_query("query").alias("rewritten"), "q_ord")
+
+
+@_query("""select page_id, u as img_url, substr(sha1(u), 1, 16) || '.jpg' as file_name from (select page_id,
+case page_id % 3 when 0 then 'https://cdn.example.org/' || page_id || '.png' when 1 then regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || '/img/' || page_id || '.png'
+else 'http://pics.example.org/' || page_id end as u from pages)""")
+def image_filename(spark, sf_dir):
+    i = F.col("page_id").cast("string")
+    src = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("//cdn.example.org/"), i, F.lit(".png"))).when(F.col("page_id") % 3 == 1, F.concat(F.lit("/img/"), i, F.lit(".png"))).otherwise(F.concat(F.lit("http://pics.example.org/"), i))
+    rows = _table(spark, sf_dir, "pages").select("page_id", html.rooted(src, "url").alias("img_url"))
+    return rows.withColumn("file_name", html.file_name("img_url"))
+
+
+@_query()
+def html_text_context(spark, sf_dir):
+    """An image put before the text of every paragraph; addresses resolved against the page."""
+    put = F.replace(F.col("html"), F.lit("<p>"), F.concat(F.lit('<p><img src="../i/'), F.col("page_id").cast("string"), F.lit('.jpg" width="640" height="480">')))
+    found = html.images(_table(spark, sf_dir, "pages").withColumn("html", put))
+    return found.select("page_id", "img_ord", html.resolved("img_url", "url").alias("img_url"), F.md5("context_before").alias("before_md5"), F.md5("context_after").alias("after_md5"))
+
+
+# Taxonomy: language, source and document stand for category, subcategory and query
+
+
+def _taxonomy(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    place = lambda *by: (F.row_number().over(W.orderBy(*by)) - 1).cast("long")  # noqa: E731  over the few distinct names only
+    cats = d.select("lang").distinct().withColumn("cat_ord", place("lang"))
+    subs = d.select("lang", "source").distinct().withColumn("sub_ord", (F.row_number().over(W.partitionBy("lang").orderBy("source")) - 1).cast("long"))
+    q = d.withColumn("q_ord", (F.row_number().over(W.partitionBy("lang", "source").orderBy("doc_id")) - 1).cast("long"))
+    q = q.join(cats, "lang").join(subs, ["lang", "source"])
+    return q.select(F.col("lang").alias("category"), "cat_ord", F.col("source").alias("subcategory"), "sub_ord", "q_ord", F.col("doc_id").cast("string").alias("query"))
+
+
+_TAXONOMY = """select dense_rank() over (order by lang) - 1 as cat_ord, s.sub_ord, row_number() over (partition by d.lang, d.source order by doc_id) - 1 as q_ord, cast(doc_id as varchar) as query
+from documents d join (select lang, source, row_number() over (partition by lang order by source) - 1 as sub_ord from (select distinct lang, source from documents)) s using (lang, source)"""
+
+
+@_query(_TAXONOMY)
+def taxonomy_flatten(spark, sf_dir):
+    return taxonomy.flattened(_taxonomy(spark, sf_dir))
+
+
+@_query(f"select * from ({_TAXONOMY}) order by cat_ord, sub_ord, q_ord limit {CAP}")
+def taxonomy_limit(spark, sf_dir):
+    return taxonomy.flattened(_taxonomy(spark, sf_dir), CAP)
+
+
+@_query("""with p as (select lang, source, count(*) as n from documents group by lang, source)
+select lang as category, count(*) as n_subcategories, cast(sum(n) as bigint) as n_queries from p group by rollup(lang)""")
+def taxonomy_counts(spark, sf_dir):
+    return taxonomy.counts(_taxonomy(spark, sf_dir))
+
+
+@_query("""select event_id, case event_id % 4 when 0 then 'a ' || user_id || '|b' when 1 then 'q' || user_id when 2 then 'k' || user_id || '|x' else '' end as queries from events""")
+def taxonomy_query_payload(spark, sf_dir):
+    u, kind = F.col("user_id"), F.col("event_id") % 4
+    payload = F.when(kind == 0, F.format_string('{"search_queries": ["a %d", "", "b", 7]}', u)).when(kind == 1, F.format_string('{"search_queries": [], "keywords": ["q%d"]}', u))
+    payload = payload.when(kind == 2, F.format_string('{"keywords": [{"query": "", "keyword": "k%d"}, "no", {"query": "x"}, {"other": 1}]}', u)).otherwise('{"search_queries": []}')
+    return _table(spark, sf_dir, "events").select("event_id", F.array_join(taxonomy.query_list(payload), "|").alias("queries"))
+
+
+# Annotation and examples: a stand-in annotation that is a pure function of the document
+
+
+@_query(f"select doc_id, md5(p) as prompt_md5, cast(length(p) as bigint) as prompt_chars from (select doc_id, '{annotate.TEXT_TASK.format(language='en')}' || chr(10) || chr(10) || 'SOURCE TEXT:' || chr(10) || text as p from documents)")
+def prompt_render(spark, sf_dir):
+    p = _docs(spark, sf_dir).select("doc_id", annotate.text_prompt("text", "en").alias("p"))
+    return p.select("doc_id", F.md5("p").alias("prompt_md5"), F.length("p").cast("long").alias("prompt_chars"))
+
+
+@_query("select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
+def json_extract(spark, sf_dir):
+    kind, props = F.col("event_id") % 3, F.col("props")
+    said = F.when(kind == 0, props).when(kind == 1, F.concat(F.lit("Sure:\n```json\n"), props, F.lit("\n```\nDone."))).otherwise(F.concat(F.lit("as {x} and "), props, F.lit(" end")))
+    found = _table(spark, sf_dir, "events").select("event_id", jsontext.json_in(said).alias("j"))
+    return found.select("event_id", F.get_json_object("j", "$.k").cast("long").alias("k"))
+
+
+def _stub() -> Column:
+    """2 to 8 pairs by the text's length, answers of 30 characters from the text, sometimes without a domain."""
+    text, n = F.col("text"), (F.lit(2) + F.col("n_chars") % 7).cast("int")
+    part = lambda i: F.expr("substring(text, 1, 30)") if i is None else F.substr(text, (i * 30 + 1).cast("int"), F.lit(30))
+    qa = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.concat(F.lit("Q"), i.cast("string"), F.lit(" "), part(None)).alias("question"), part(i).alias("answer")))
+    pair = lambda s: F.struct(F.lit(s).alias("instruction"), part(None).alias("response"))
+    talk = F.struct(F.lit("So?").alias("opening_question"), F.col("lang").alias("opening_response"), F.lit("Why?").alias("follow_up_question"), F.col("source").alias("follow_up_response"))
+    meta = F.struct(F.col("lang").alias("language"), F.array(F.col("source")).alias("topics"), F.when(F.col("n_chars") % 11 == 0, F.lit("")).otherwise(F.col("source")).alias("domain"))
+    return F.struct(qa.alias("knowledge_qa"), pair("Explain.").alias("detailed_explanation"), pair("Reason.").alias("analytical_reasoning"), talk.alias("conversational_exchange"), meta.alias("metadata"))
+
+
+_FAULT = """case when not (2 + n_chars % 7 between 3 and 7) or length(text) <= 30 * (2 + n_chars % 7) then 'schema: knowledge_qa' when n_chars % 11 = 0 then 'schema: metadata.domain' end"""
+
+
+def _annotations(spark, sf_dir):
+    rows = _docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), _stub().alias("a"))
+    return rows.withColumn("error", annotate.text_fault(F.col("a"))).withColumn("success", F.col("error").isNull())
+
+
+@_query(f"select cast(doc_id as varchar) as id, {_FAULT} is null as success, {_FAULT} as error from documents")
+def annotation_validate(spark, sf_dir):
+    return _annotations(spark, sf_dir).select("id", "success", "error")
+
+
+@_query(f"select cast(doc_id as varchar) as id, {_FAULT} is null as valid from documents")
+def annotation_validate_json(spark, sf_dir):
+    rows = _annotations(spark, sf_dir).select("id", annotate.checked(F.to_json("a"), validate.TEXT_ANNOTATION).alias("c"))
+    return rows.select("id", "c.valid")
+
+
+@_query(f"""select count(*) as num_items, count(*) filter (e is null) as num_annotations, count(*) filter (e is not null) as num_failures,
+cast(coalesce(sum(case when e is null then 2 + n_chars % 7 + 3 end), 0) as bigint) as num_examples from (select n_chars, {_FAULT} as e from documents)""")
+def annotation_stats(spark, sf_dir):
+    a = _annotations(spark, sf_dir)
+    n = F.when(F.col("success"), F.size(sft.text_examples(F.col("a")))).otherwise(0)
+    return a.agg(F.count("*").alias("num_items"), F.count_if("success").alias("num_annotations"), F.count_if(~F.col("success")).alias("num_failures"), F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("num_examples"))
+
+
+@_query("""with i as (select doc_id, text as t, 0 as o from documents union all select doc_id, 'again ' || source, case when doc_id % 2 = 0 then 1 else -1 end from documents),
+l as (select *, row_number() over (partition by doc_id order by o desc) as n from i)
+select cast(d.doc_id as varchar) as id, md5(l.t) as text_md5 from documents d join l on l.doc_id = d.doc_id and l.n = 1""")
+def annotation_join(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    items = d.select(F.col("doc_id").cast("string").alias("item_id"), "text", F.lit(0).alias("o"))
+    order = F.when(F.col("doc_id") % 2 == 0, F.lit(1)).otherwise(-1)
+    again = d.select(F.col("doc_id").cast("string").alias("item_id"), F.concat(F.lit("again "), "source").alias("text"), order.alias("o"))
+    notes = d.select(F.col("doc_id").cast("string").alias("id"), F.lit(True).alias("success"))
+    return sft.joined(notes, items.unionByName(again), "o").select("id", F.md5("text").alias("text_md5"))
+
+
+def _flat(messages: str) -> Column:
+    return F.md5(F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n"))
+
+
+@_query(f"""with d as (select *, substr(text, 1, 30) as h, 2 + n_chars % 7 as n from documents where {_FAULT} is null),
+e as (select doc_id, i - 1 as ex_ord, 2 as n_messages, 'user:Q' || i || ' ' || h || chr(10) || 'assistant:' || substr(text, 30 * i + 1, 30) as m from (select *, unnest(range(1, n + 1)) as i from d)
+union all select doc_id, n, 2, 'user:Explain.' || chr(10) || 'assistant:' || h from d
+union all select doc_id, n + 1, 2, 'user:Reason.' || chr(10) || 'assistant:' || h from d
+union all select doc_id, n + 2, 4, 'user:So?' || chr(10) || 'assistant:' || lang || chr(10) || 'user:Why?' || chr(10) || 'assistant:' || source from d)
+select cast(doc_id as varchar) as id, cast(ex_ord as integer) as ex_ord, n_messages, md5(m) as messages_md5 from e""")
+def sft_text_examples(spark, sf_dir):
+    good = _annotations(spark, sf_dir).where("success")
+    return sft.exploded(good, sft.text_examples(F.col("a")), "id").select("id", "ex_ord", F.size("messages").alias("n_messages"), _flat("messages").alias("messages_md5"))
+
+
+@_query(f"""with p as (select page_id, url, 3 + page_id % 5 as n, case when page_id % 2 = 0 then 'Read.' end as oi, case page_id % 4 when 0 then '' else 'sign' end as oa from pages),
+e as (select page_id, 0 as ord, url, '{sft.CAPTION}' as q, 'Page ' || page_id as a from p
+union all select page_id, i, url, 'V' || i, 'A' || i from (select *, unnest(range(1, n + 1)) as i from p)
+union all select page_id, n + 1, url, oi, oa from p where coalesce(oi, '') <> '' and oa <> ''
+union all select page_id, n + 2, url, 'Why?', 'So.' from p union all select page_id, n + 3, url, 'Do.', 'Done.' from p)
+select cast(page_id as varchar) as id, cast(row_number() over (partition by page_id order by ord) - 1 as integer) as ex_ord, md5(q || '|' || url || '|' || a) as messages_md5 from e""")
+def sft_image_examples(spark, sf_dir):
+    i = F.col("page_id")
+    pair = lambda q, a: F.struct(q.alias("instruction"), a.alias("answer"))
+    vqa = F.transform(F.sequence(F.lit(1), (F.lit(3) + i % 5).cast("int")), lambda k: F.struct(F.concat(F.lit("V"), k.cast("string")).alias("question"), F.concat(F.lit("A"), k.cast("string")).alias("answer")))
+    ocr = pair(F.when(i % 2 == 0, F.lit("Read.")), F.when(i % 4 == 0, F.lit("")).otherwise("sign"))
+    a = F.struct(F.struct(F.concat(F.lit("Page "), i.cast("string")).alias("text")).alias("caption"), vqa.alias("vqa"), ocr.alias("ocr"), pair(F.lit("Why?"), F.lit("So.")).alias("reason"), pair(F.lit("Do."), F.lit("Done.")).alias("instruct_follow"))
+    rows = sft.exploded(_table(spark, sf_dir, "pages").select(i.cast("string").alias("id"), "url", a.alias("a")), sft.image_examples(F.col("a"), F.col("url")), "id")
+    ask, say = F.get("messages", F.lit(0))["content"], F.get("messages", F.lit(1))["content"]
+    return rows.select("id", "ex_ord", F.md5(F.concat_ws("|", F.get(ask, F.lit(0))["text"], F.get(ask, F.lit(1))["image"], F.get(say, F.lit(0))["text"])).alias("messages_md5"))
+
+
+@_query("select doc_id as item_id from documents d where exists (select 1 from labels l where l.doc_id = d.doc_id and l.quality = 0)")
+def failed_items(spark, sf_dir):
+    notes = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") != 0).alias("success"))
+    return annotate.failed_items(_docs(spark, sf_dir).select(F.col("doc_id").alias("item_id")), notes)
+
+
+# Data sets and chats
+
+
+def _chats(spark, sf_dir):
+    return dataset.chats(_table(spark, sf_dir, "conversations"))
+
+
+@_query("""with c as (select conv_id, text, role, row_number() over (partition by conv_id order by turn, role, text) - 1 as i from conversations)
+select conv_id, count(*) % 2 = 0 and bool_and(role = case when i % 2 = 0 then 'user' else 'assistant' end and coalesce(text, '') <> '') as well_formed from c group by conv_id""")
+def chat_invariant(spark, sf_dir):
+    return _chats(spark, sf_dir).select("conv_id", sft.well_formed(F.col("messages")).alias("well_formed"))
+
+
+_TURN = "'<|' || role || '|>' || chr(10) || text"
+
+
+@_query(f"select conv_id, count(*) as n_turns, md5(string_agg({_TURN}, chr(10) order by turn, role, text)) as text_md5 from conversations group by conv_id")
+def chat_render(spark, sf_dir):
+    return _chats(spark, sf_dir).select("conv_id", F.size("messages").cast("long").alias("n_turns"), F.md5(dataset.rendered(F.col("messages"))).alias("text_md5"))
+
+
+@_query(f"""with l as (select conv_id, max(turn) filter (where role = 'assistant') as t from conversations group by conv_id)
+select conv_id, md5(coalesce(string_agg({_TURN}, chr(10) order by turn, role, text) filter (where t is null or turn < t), '')) as prompt_md5, md5(max(text) filter (where turn = t)) as reference_md5
+from conversations join l using (conv_id) group by conv_id""")
+def chat_input_output(spark, sf_dir):
+    rows = _chats(spark, sf_dir).select("conv_id", dataset.input_output(F.col("messages")).alias("x"))
+    return rows.select("conv_id", F.md5("x.prompt").alias("prompt_md5"), F.md5("x.reference").alias("reference_md5"))
+
+
+@_query(f"""select 'doc_id,text,lang,source,n_chars' as columns, count(*) as sample_count, 'text' as modality_candidates,
+cast(count_if(text is null or {T.ws_sql('text')} = '') > 0 as bigint) as n_warnings from documents""")
+def dataset_summary(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    warned = dataset.warnings(d).agg(F.count("*").alias("n_warnings"))
+    return d.agg(F.count("*").alias("sample_count")).crossJoin(warned).select(F.lit(",".join(d.columns)).alias("columns"), "sample_count", F.lit(",".join(dataset.modality(d.columns))).alias("modality_candidates"), "n_warnings")
+
+
+@_query("select 'prompt' as \"column\", count(*) filter (n_chars % 5 = 0 or n_chars % 7 = 0) as n_missing from documents having count_if(n_chars % 5 = 0 or n_chars % 7 = 0) > 0")
+def validate_text_columns(spark, sf_dir):
+    d = _docs(spark, sf_dir).withColumn("prompt", F.when(F.col("n_chars") % 5 == 0, F.lit("  ")).when(F.col("n_chars") % 7 != 0, F.col("text")))
+    return dataset.warnings(d)
+
+
+@_query("""select doc_id, count(*) over () > 10 and row_number() over (order by md5('42:' || doc_id), doc_id) <= ceil(count(*) over () * 0.05) as is_test from documents""")
+def train_test_split(spark, sf_dir):
+    return dataset.split(_docs(spark, sf_dir).select("doc_id"), "doc_id")
+
+
+@_query(f"select doc_id, source from documents order by doc_id limit {CAP}")
+def head_limit(spark, sf_dir):
+    return dataset.head(_docs(spark, sf_dir).select("doc_id", "source"), CAP, "doc_id")
+
+
+@_query()
+def tokenise_pad(spark, sf_dir):
+    rows = dataset.tokenised(_docs(spark, sf_dir).select("doc_id", "text"), WordTokenizer(), 512)
+    ids = F.array_join(F.transform("input_ids", lambda x: x.cast("string")), ",")
+    return rows.select("doc_id", F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_ids"), F.md5(ids).alias("ids_md5"))
+
+
+# Metrics and tuning: events stand for log lines and users for trials
+
+
+def _log(spark, sf_dir):
+    kind = lambda k: F.when(F.col("event_type") == k, F.col("value"))
+    return _table(spark, sf_dir, "events").select(F.col("event_id").alias("line_no"), F.col("user_id").cast("int").alias("step"), kind("purchase").alias("loss"), kind("signup").alias("train_loss"), kind("view").alias("eval_loss"))
+
+
+@_query("""select coalesce(max(user_id), 0)::integer as steps, min(value) filter (where event_type = 'view') as best_eval_loss,
+arg_max(value, event_id) filter (where event_type in ('purchase', 'signup')) as last_train_loss, arg_max(value, event_id) filter (where event_type = 'view') as last_eval_loss from events""")
+def metrics_summary(spark, sf_dir):
+    return metrics.summary(_log(spark, sf_dir))
+
+
+@_query("select event_id, event_type from events order by event_id desc limit 25")
+def log_tail(spark, sf_dir):
+    return metrics.tail(_table(spark, sf_dir, "events").select("event_id", "event_type"), 25, "event_id")
+
+
+@_query("""with t as (select user_id as trial, case when user_id % 7 = 0 then 0 else min(value) filter (where event_type = 'view') end as b,
+arg_max(value, event_id) filter (where event_type = 'purchase') as l from events group by user_id)
+select trial, score from (select trial, coalesce(nullif(b, 0), l) as score from t) where score is not null order by score, trial limit 1""")
+def best_trial(spark, sf_dir):
+    e = _table(spark, sf_dir, "events")
+    line = F.when(F.col("event_type") == "purchase", F.col("event_id"))
+    t = e.groupBy(F.col("user_id").alias("trial")).agg(F.min(F.when(F.col("event_type") == "view", F.col("value"))).alias("b"), F.max_by("value", line).alias("last_train_loss"))
+    return metrics.best_trial(t.withColumn("best_eval_loss", F.when(F.col("trial") % 7 == 0, F.lit(0.0)).otherwise(F.col("b")))).select("trial", "score")
+
+
+@_query("""select event_id, round(greatest(least(0.0002 * (value / 10), 0.0005), 0.00001), 9) as lr, greatest(least(4 + user_id % 40 - 20, 16), 1) as batch_size,
+greatest(least(4 + event_id % 30 - 15, 16), 1) as grad_accum, greatest(least(200 + event_id % 2000 - 1000, 1000), 50) as max_steps from events""")
+def tuning_clamp(spark, sf_dir):
+    e = _table(spark, sf_dir, "events").select("event_id", F.lit(2e-4).alias("lr"), F.lit(4).cast("long").alias("batch_size"), F.lit(4).cast("long").alias("grad_accum"), F.lit(200).cast("long").alias("max_steps"), (F.col("value") / 10).alias("lr_multiplier"), (F.col("user_id") % 40 - 20).alias("batch_size_delta"), (F.col("event_id") % 30 - 15).alias("grad_accum_delta"), (F.col("event_id") % 2000 - 1000).alias("max_steps_delta"))
+    return metrics.moved(e).select("event_id", F.round("lr", 9).alias("lr"), "batch_size", "grad_accum", "max_steps")
+
+
+# Evaluation: turns stand for predictions, the turns after them for references
+
+_SPOILT = "case conv_id % 5 when 0 then '' when 1 then 'so so so so so so so so so so so so' when 2 then 'ok' else text end"
+
+
+def _predictions(spark, sf_dir, spoil: bool = True):
+    c = _table(spark, sf_dir, "conversations")
+    w = W.partitionBy("conv_id").orderBy("turn", "role", "text")
+    after = F.when(F.col("turn") % 3 != 0, F.lead("text").over(w))
+    said = F.expr(_SPOILT) if spoil else F.col("text")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("role").alias("input"), said.alias("prediction"), after.alias("reference"))
+
+
+_PRED = """select conv_id * 1000 + turn as id, {said} as p, case when turn % 3 <> 0 then lead(text) over (partition by conv_id order by turn, role, text) end as r from conversations"""
+_NORM = f"select id, {T.normalise_sql('p')} as p, case when coalesce(r, '') <> '' then {T.normalise_sql('r')} end as r from ({_PRED})"
+_FLAGS = f"""select id, case when p = '' then 0 else len(string_split(p, ' ')) end as n_tokens, case when p = '' then 0 else len(list_distinct(string_split(p, ' '))) end as n_distinct,
+p = '' as empty_output, r is not null and p = r as exact_match, r is null and length(p) < 5 as too_short from ({_NORM})"""
+
+
+@_query(f"select *, n_tokens = 0 or 10 * n_distinct < 3 * n_tokens as repetition from ({_FLAGS.replace('{said}', 'text')})")
+def failure_flags(spark, sf_dir):
+    return evaluate.flagged(_predictions(spark, sf_dir, False), False).select("id", "n_tokens", "n_distinct", "empty_output", "repetition", "exact_match", "too_short")
+
+
+@_query(f"""select id, concat_ws(',', case when empty_output then 'empty_output' end, case when repetition then 'repetition' end, case when exact_match then 'exact_match' end, case when too_short then 'too_short' end) as reasons
+from (select *, n_tokens = 0 or 10 * n_distinct < 3 * n_tokens as repetition from ({_FLAGS.replace('{said}', _SPOILT)})) where empty_output or repetition or too_short""")
+def collect_failures(spark, sf_dir):
+    return evaluate.failures(_predictions(spark, sf_dir), False).select("id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@_query()
+def failure_similarity(spark, sf_dir):
+    return evaluate.failures(_predictions(spark, sf_dir, False)).select("id", F.array_join("reasons", ",").alias("reasons"))
+
+
+_TFIDF = f"""with w as (select doc_id, unnest(regexp_extract_all(lower(text), '({T.TERM})', 1)) as term from documents),
+c as (select doc_id, term, count(*) as tf from w group by doc_id, term), n as (select count(*) as n from documents),
+v as (select term, count(*) as df from c group by term order by sum(tf) desc, term limit {evaluate.VOCABULARY}),
+r as (select doc_id, term, tf * (ln((1 + n) / (1 + df)) + 1) as x from c join v using (term), n)
+select doc_id, term, round(x / sqrt(sum(x * x) over (partition by doc_id)), 6) as weight from r"""
+
+
+@_query(_TFIDF)
+def tfidf_weights(spark, sf_dir):
+    return evaluate.tfidf(_docs(spark, sf_dir), "doc_id", F.col("text")).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+@_query()
+def failure_clusters(spark, sf_dir):
+    failed = evaluate.failures(_predictions(spark, sf_dir), False)
+    return evaluate.failure_clusters(failed, n_init=2).select("id", "cluster")
+
+
+@_query("""with e as (select label as cluster, vec_id, row_number() over (partition by label order by vec_id) as n from embeddings)
+select cluster, count(*) as count, min(vec_id) as first, string_agg(cast(vec_id as varchar), ',' order by vec_id) filter (where n <= 3) as examples from e group by cluster""")
+def cluster_preview(spark, sf_dir):
+    e = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("cluster"))
+    shown = evaluate.preview(e, "vec_id", 3, "vec_id")
+    return shown.select("cluster", "count", "first", F.array_join(F.transform("examples", lambda x: x["vec_id"].cast("string")), ",").alias("examples"))
+
+
+# Reports
+
+
+@_query("select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events where event_id % 4 <> 3")
+def tolerant_jsonl(spark, sf_dir):
+    kind, props = F.col("event_id") % 4, F.col("props")
+    line = F.when(kind == 0, props).when(kind == 1, F.concat(F.lit("junk "), props)).when(kind == 2, F.concat(props, F.lit(" tail"))).otherwise("no braces")
+    rows = _table(spark, sf_dir, "events").select("event_id", jsontext.tolerant(line).alias("j")).where("j is not null")
+    return rows.select("event_id", F.get_json_object("j", "$.k").cast("long").alias("k"))
+
+
+@_query("""select event_type as section, '### ' || event_type || chr(10) || chr(10) || '```' || chr(10) || '{"count":' || count(*) || '}' || chr(10) || '```' as body from events group by event_type""")
+def report_sections(spark, sf_dir):
+    n = _table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("count"))
+    return n.select(F.col("event_type").alias("section"), F.concat(F.lit("### "), "event_type", F.lit("\n\n```\n"), F.to_json(F.struct("count")), F.lit("\n```")).alias("body"))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unique documents, annotated and validated, exploded into chat examples, counted per source."""
+    d = collect.unique_rows(_docs(spark, sf_dir), "text", "doc_id")
+    a = d.select("source", F.col("doc_id").cast("string").alias("id"), _stub().alias("a"))
+    a = a.withColumn("success", annotate.text_fault(F.col("a")).isNull())
+    n = F.when(F.col("success"), F.size(sft.text_examples(F.col("a")))).otherwise(0)
+    return a.groupBy("source").agg(F.count("*").alias("n_items"), F.count_if("success").alias("n_annotations"), F.sum(n).alias("n_examples"))
+
+
+_QUERIES["sft_source_stats"] = flagship
+_ORACLE["sft_source_stats"] = f"""with d as (select d.* from documents d join ({_UNIQUE}) u using (doc_id))
+select source, count(*) as n_items, count(*) filter (e is null) as n_annotations, cast(sum(case when e is null then 5 + n_chars % 7 else 0 end) as bigint) as n_examples
+from (select source, n_chars, {_FAULT} as e from (select * replace ({T.ws_sql('text')} as text) from d)) group by source"""
