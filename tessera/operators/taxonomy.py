@@ -11,32 +11,32 @@ from tessera.operators.annotate import annotated
 _NAMED = "array<struct<name string, description string>>"
 
 
-def categories(spark: SparkSession, country: str, annotator) -> DataFrame:
+def categories(spark: SparkSession, country: str, annotator, **options) -> DataFrame:
     """(cat_ord, name, description); a blank country is an error, a failed call gives no rows."""
     if not country or not country.strip():
         raise ValueError("country is required")
     one = spark.range(1).select(F.lit("categories").alias("item_id"), F.lit(f"Country or culture: {country}").alias("message"))
-    found = annotated(one, annotator, "List CATEGORIES of knowledge as JSON: {categories: [{name, description}]}.")
+    found = annotated(one, annotator, "List CATEGORIES of knowledge as JSON: {categories: [{name, description}]}.", **options)
     items = F.from_json("data", f"struct<categories {_NAMED}>")
     return found.where("success").select(F.posexplode(items["categories"]).alias("cat_ord", "c")).select("cat_ord", "c.name", "c.description")
 
 
-def subcategories(category: DataFrame, country: str, annotator) -> DataFrame:
+def subcategories(category: DataFrame, country: str, annotator, **options) -> DataFrame:
     """(category, cat_ord, sub_ord, name, description); a failed category keeps one row with null sub_ord and name."""
     ask = category.select(F.col("name").alias("item_id"), F.concat_ws("\n", F.lit(f"Country or culture: {country}"), F.coalesce("description", F.lit("")), F.col("name")).alias("message"))
-    found = annotated(ask, annotator, "List SUBCATEGORIES as JSON: {subcategories: [{name, description}]}.")
+    found = annotated(ask, annotator, "List SUBCATEGORIES as JSON: {subcategories: [{name, description}]}.", **options)
     items = F.when(F.col("success"), F.from_json("data", f"struct<subcategories {_NAMED}>")["subcategories"])
     rows = found.select(F.col("id").alias("category"), F.posexplode_outer(items).alias("sub_ord", "s"))
     return rows.join(category.select(F.col("name").alias("category"), "cat_ord"), "category").select("category", "cat_ord", "sub_ord", "s.name", "s.description")
 
 
-def queries(subcategory: DataFrame, country: str, annotator) -> DataFrame:
+def queries(subcategory: DataFrame, country: str, annotator, **options) -> DataFrame:
     """(category, cat_ord, subcategory, sub_ord, q_ord, query) of the (category, subcategory) pairs, the last of equal
     pairs winning; failed pairs and categories without subcategories have no rows."""
     pairs = subcategory.where("name is not null").groupBy("category", "name").agg(F.max_by(F.struct("cat_ord", "sub_ord", "description"), F.struct("cat_ord", "sub_ord")).alias("s"))
     ident = F.concat_ws("||", "category", "name")
     ask = pairs.select(ident.alias("item_id"), F.concat_ws("\n", F.lit(f"Country or culture: {country}"), "category", F.coalesce("s.description", F.lit("")), "name").alias("message"))
-    found = annotated(ask, annotator, "List search QUERIES as JSON: {search_queries: [text]}.")
+    found = annotated(ask, annotator, "List search QUERIES as JSON: {search_queries: [text]}.", **options)
     listed = found.where("success").select(F.col("id"), F.posexplode(query_list(F.col("data"))).alias("q_ord", "query"))
     return pairs.withColumn("id", ident).join(listed, "id").select("category", "s.cat_ord", F.col("name").alias("subcategory"), "s.sub_ord", "q_ord", "query")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,7 +58,7 @@ class Pipeline:
     def texts(self, queries: DataFrame) -> DataFrame:
         """(ord, text): searched, filtered and cut before anything is scraped, then unique texts."""
         cfg = self.cfg
-        place = F.row_number().over(_ordered("cat_ord", "sub_ord", "q_ord"))
+        place = F.row_number().over(Window.orderBy("cat_ord", "sub_ord", "q_ord"))
         asked = self._held(collect.distinct_queries(queries.withColumn("q_ord", place)), "collect", "asked")
         hits = self._held(collect.searched(asked.withColumn("query", collect.search_query("query")), self.search, cfg.serper_results_per_query), "collect", "hits")
         best = collect.first_hits(hits, cfg.serper_top_results)
@@ -190,8 +190,3 @@ class Pipeline:
         best = metrics.best_trial(self.spark.createDataFrame(rows, "trial int, best_eval_loss double, last_train_loss double")).first()
         return tried[best["trial"]] if best else config
 
-
-def _ordered(*by: str):
-    from pyspark.sql import Window
-
-    return Window.orderBy(*by)

@@ -140,10 +140,10 @@ class FixedAnnotator:
     def complete(self, request: Request) -> str:
         ask, text = request.system_prompt or "", request.user_message
         head = " ".join(text.split()[-3:]) or "nothing"
-        if "CATEGORIES" in ask:
-            value: dict = {"categories": [{"name": f"Topic {c}", "description": f"About {c}"} for c in "AB"]}
-        elif "SUBCATEGORIES" in ask:
-            value = {"subcategories": [{"name": f"{head} {i}", "description": f"Part {i}"} for i in (1, 2)]}
+        if "SUBCATEGORIES" in ask:
+            value: dict = {"subcategories": [{"name": f"{head} {i}", "description": f"Part {i}"} for i in (1, 2)]}
+        elif "CATEGORIES" in ask:
+            value = {"categories": [{"name": f"Topic {c}", "description": f"About {c}"} for c in "AB"]}
         elif "QUERIES" in ask:
             value = {"search_queries": [f"{head} history", f"{head} today"]}
         else:

@@ -123,7 +123,7 @@ def _listed(spark: SparkSession, path: str):
     return list(fs.listStatus(p))
 
 
-def prompt(folder: str, name: str, **values) -> str:
+def prompt(folder: str, name: str, /, **values) -> str:
     """A template file with its fields filled in."""
     with open(os.path.join(folder, name), encoding="utf-8") as f:
         return f.read().format(**values)
