@@ -18,14 +18,18 @@ MAX_REPEATED_PERCENT = 30
 REPEAT_WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 
-#: Bands by language: characters per token (least, most), largest byte-fallback share, token entropy in bits relative
-#: to the most that so many tokens could have (least). A text out of a band is rejected. "*" holds for other languages.
+#: Texts of so many tokens are held to an entropy in bits, which then hardly depends on length; shorter ones to a share
+#: of the most that their tokens could have.
+ENTROPY_TOKENS = 500
+
+#: Bands by language: characters per token (least, most), largest byte-fallback share, least token entropy as a share and
+#: in bits. A text out of a band is rejected. "*" holds for other languages.
 BANDS = {
-    "en": (1.6, 8.0, 0.10, 0.45),
-    "de": (1.4, 8.0, 0.10, 0.45),
-    "fr": (1.4, 8.0, 0.10, 0.45),
-    "es": (1.4, 8.0, 0.10, 0.45),
-    "*": (0.9, 10.0, 0.50, 0.40),
+    "en": (1.75, 8.0, 0.10, 0.45, 6.2),
+    "de": (1.60, 8.0, 0.10, 0.45, 6.05),
+    "fr": (1.50, 8.0, 0.10, 0.45, 5.95),
+    "es": (1.45, 8.0, 0.10, 0.45, 5.75),
+    "*": (0.90, 10.0, 0.50, 0.40, 4.0),
 }
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -100,7 +104,7 @@ def base_counts(texts: pa.Array, words=None) -> dict[str, np.ndarray]:
 
 
 def fertility(words, bytes_path: str, pieces_path: str, word_chars: np.ndarray) -> dict[str, np.ndarray]:
-    """Characters per token, byte-fallback share and relative token entropy of each text.
+    """Characters per token, byte-fallback share, token entropy in bits and token count of each text.
 
     Both vocabularies break at white space, so each distinct word of the batch is encoded once and texts are measured
     by gathering; no text is cut.
@@ -127,8 +131,7 @@ def fertility(words, bytes_path: str, pieces_path: str, word_chars: np.ndarray)
     keys, found = np.unique(owner * (1 << 17) + token, return_counts=True)
     p = found / n_tokens[keys >> 17]
     entropy = np.bincount(keys >> 17, weights=-p * np.log2(p), minlength=n_texts)
-    most = np.log2(np.maximum(2, np.minimum(n_tokens, 1024)))
-    return {"chars_per_token": word_chars / np.maximum(1, n_tokens), "byte_share": share, "entropy": entropy / most}
+    return {"chars_per_token": word_chars / np.maximum(1, n_tokens), "byte_share": share, "entropy": entropy, "n_tokens": n_tokens}
 
 
 def judged(batch: pa.RecordBatch, text_col: str, lang_col: str | None, bytes_path: str, pieces_path: str, bands) -> dict[str, np.ndarray]:
@@ -138,8 +141,9 @@ def judged(batch: pa.RecordBatch, text_col: str, lang_col: str | None, bytes_pat
     m |= fertility(words, bytes_path, pieces_path, m["word_chars"])
     m["base_failed"] = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEATED_PERCENT * m["n_words"])
     languages = batch.column(batch.schema.get_field_index(lang_col)).to_pylist() if lang_col else [None] * len(texts)
-    least, most, share, entropy = np.array([bands.get(x, bands["*"]) for x in languages], float).reshape(-1, 4).T
-    m["kept"] = ~m["base_failed"] & (m["chars_per_token"] >= least) & (m["chars_per_token"] <= most) & (m["byte_share"] <= share) & (m["entropy"] >= entropy)
+    least, most, share, part, bits = np.array([bands.get(x, bands["*"]) for x in languages], float).reshape(-1, 5).T
+    floor = np.where(m["n_tokens"] >= ENTROPY_TOKENS, bits, part * np.log2(np.clip(m["n_tokens"], 2, ENTROPY_TOKENS)))
+    m["kept"] = ~m["base_failed"] & (m["chars_per_token"] >= least) & (m["chars_per_token"] <= most) & (m["byte_share"] <= share) & (m["entropy"] >= floor)
     return m
 
 
