@@ -26,8 +26,8 @@ ENTROPY_TOKENS = 500
 #: in bits. A text out of a band is rejected. "*" holds for other languages.
 BANDS = {
     "en": (1.75, 8.0, 0.10, 0.45, 6.2),
-    "de": (1.60, 8.0, 0.10, 0.45, 6.05),
-    "fr": (1.50, 8.0, 0.10, 0.45, 5.95),
+    "de": (1.60, 8.0, 0.10, 0.45, 6.0),
+    "fr": (1.50, 8.0, 0.10, 0.45, 5.9),
     "es": (1.45, 8.0, 0.10, 0.45, 5.75),
     "*": (0.90, 10.0, 0.50, 0.40, 4.0),
 }
