@@ -218,9 +218,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = stored(spark, both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.join(least.hint("shuffle_hash"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(spark, large, "edges")
+        least = stored(spark, large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least.hint("shuffle_hash"), "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         now = stored(spark, small, "edges")
