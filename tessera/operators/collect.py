@@ -110,3 +110,21 @@ def scraped(hits: DataFrame, connector) -> DataFrame:
 def image_urls(pages: DataFrame) -> DataFrame:
     """Page addresses over all queries, in order, repeats kept."""
     return pages.where(F.coalesce("url", F.lit("")) != "").select("query", "rank", "url")
+
+
+def fetched(addresses: DataFrame, connector) -> DataFrame:
+    """(page_id, url, html) of the addresses (page_id, url) that answer with status 200; others give no rows."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for page, url in zip(b["page_id"], b["url"]):
+                try:
+                    status, html = connector.fetch(url)
+                except Exception:
+                    continue
+                if status == 200:
+                    rows.append((page, url, html))
+            yield pd.DataFrame(rows, columns=["page_id", "url", "html"])
+
+    return addresses.select("page_id", "url").mapInPandas(run, "page_id long, url string, html string")

@@ -87,3 +87,9 @@ def well_formed(messages: Column) -> Column:
     turn = lambda m, i: (m["role"] == F.when(i % 2 == 0, F.lit("user")).otherwise("assistant")) & (F.coalesce(m["content"], F.lit("")) != "")
     numbered = F.transform(messages, lambda m, i: turn(m, i))
     return (F.size(messages) > 0) & (F.size(messages) % 2 == 0) & F.forall(numbered, lambda x: x)
+
+
+def serialised(examples: DataFrame, *order: str) -> DataFrame:
+    """One JSON array of the examples' messages for each id, in order; an id's examples are few by construction."""
+    listed = F.array_sort(F.collect_list(F.struct(*(order or ("ex_ord",)), "messages")))
+    return examples.groupBy("id").agg(listed.alias("x")).select("id", F.to_json(F.transform("x", lambda e: F.struct(e["messages"].alias("messages")))).alias("examples"))

@@ -20,7 +20,7 @@ from tessera.sources.config import PipelineConfig, TrainConfig
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, config: PipelineConfig | dict | None = None, *, annotator=None, decider=None, search=None, scrape=None, generator=None, trainer=None, reg=None, **overrides):
+    def __init__(self, spark: SparkSession, config: PipelineConfig | dict | None = None, *, annotator=None, decider=None, search=None, scrape=None, pages=None, generator=None, trainer=None, reg=None, **overrides):
         if isinstance(config, PipelineConfig) and not overrides:
             self.cfg = config
         else:
@@ -29,6 +29,7 @@ class Pipeline:
         self.spark = spark
         self.annotator, self.decisions = annotator or connectors.FixedAnnotator(), decider or FixedDecisions()
         self.search, self.scrape = search or connectors.FixedSearch(), scrape or connectors.FixedScrape()
+        self.pages = pages or connectors.FixedPages()
         self.registry = reg or registry.default_registry()
         self.generator = generator or connectors.EchoGenerator()
         self.trainer = trainer
@@ -85,10 +86,13 @@ class Pipeline:
         notes = self._held(annotate.annotate_images(items, self.annotator, self.cfg.sft_target_language, retry_delay=0.0), "sft", "image_annotations")
         return sft.image_sft(notes, items)
 
-    def images(self, pages: DataFrame) -> DataFrame:
-        """Image records of pages (page_id, url, html), by the settings for images."""
+    def images(self) -> DataFrame:
+        """Image records of the collected pages, by the settings for images: address, file name and context."""
         c = self.cfg
-        return html.images(pages, c.image_context_size, c.image_min_width, c.image_min_height)
+        pages = self.spark.read.parquet(self.path("collect", "pages"))
+        addresses = collect.image_urls(pages).select(F.monotonically_increasing_id().alias("page_id"), "url")
+        found = html.images(collect.fetched(addresses, self.pages), c.image_context_size, c.image_min_width, c.image_min_height)
+        return found.withColumn("img_url", html.resolved("img_url", "url")).withColumn("file_name", html.file_name("img_url"))
 
     # Training and evaluation
 
@@ -150,7 +154,10 @@ class Pipeline:
         return self._finish(mode, summary, chosen, iterations, self.evaluation(df), extra) | extra
 
     def full(self) -> dict:
-        made, counts = self.examples(self.texts(self.queries()))
+        texts = self.texts(self.queries())
+        if self.cfg.collect_images:
+            writers.jsonl(self.images(), self.path("collect", "images.json"))
+        made, counts = self.examples(texts)
         data = writers.parquet(made.select("messages"), self.path("sft", "data.parquet"))
         return self._trained_and_judged(data, "full", {"sft": counts})
 

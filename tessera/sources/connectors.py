@@ -22,6 +22,10 @@ class ScrapeConnector(Protocol):
     def scrape(self, url: str) -> str | None: ...
 
 
+class PageConnector(Protocol):
+    def fetch(self, url: str) -> tuple[int, str]: ...
+
+
 class Annotator(Protocol):
     def complete(self, request: Request) -> str: ...
 
@@ -134,6 +138,15 @@ class FixedScrape:
         return f"Text of {url}. It tells something about its subject, and then it ends."
 
 
+class FixedPages:
+    """A page with one large and one small picture; addresses that end in `gone` do not answer."""
+
+    def fetch(self, url: str) -> tuple[int, str]:
+        if url.endswith("gone"):
+            return 404, ""
+        return 200, f'<p>Before {url}<img src="/a.jpg" width="800" height="600">after<img src="b.jpg" width="10" height="10"></p>'
+
+
 class FixedAnnotator:
     """Answers by what the system prompt asks for; output is fenced like a model's."""
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import collect, html
-from tessera.sources.connectors import FixedScrape, FixedSearch
+from tessera.sources.connectors import FixedPages, FixedScrape, FixedSearch
 
 HITS = "query string, rank int, link string"
 
@@ -47,6 +47,8 @@ def test_connectors(spark):
     pages = collect.scraped(hits, Half())
     assert pages.count() == 2 and pages.where("full_text = ''").count() == 0
     assert collect.image_urls(pages).count() == 2
+    got = collect.fetched(spark.createDataFrame([(1, "http://a"), (2, "http://gone"), (3, None)], "page_id long, url string"), FixedPages()).collect()
+    assert [r.page_id for r in got] == [1]
 
 
 PAGE = '<html><style>p{}</style><body>Lead <b>bold</b><img src="/a.png" width="640" height="480">mid<img width="9" height="9" src="s.png"><img><img src="//cdn/x" width="100%" height="1">' + "".join(f'<img src="n{i}.png" width="5">t{i} ' for i in range(10)) + "<script>x()</script>tail</body>"

@@ -117,7 +117,9 @@ def settings(tmp_path, **more):
 
 
 def test_full_run(spark, tmp_path):
-    out = Pipeline(spark, settings(tmp_path, max_queries=3, serper_top_results=2)).run()
+    out = Pipeline(spark, settings(tmp_path, max_queries=3, serper_top_results=2, collect_images=True)).run()
+    shown = spark.read.json(str(tmp_path / "run" / "collect" / "images.json")).collect()
+    assert len(shown) == 6 and all(r.img_url.endswith(".example.org/a.jpg") and r.context_after.startswith(" after") for r in shown)
     assert out["mode"] == "full" and out["sft"]["num_items"] == 6 and out["sft"]["num_examples"] == 36
     text = open(out["report_path"], encoding="utf-8").read()
     places = [text.index(f"## {s}") for s in ("Dataset Summary", "Agent Decisions", "Selected Components", "Training Iterations", "Failure Clusters", "Error Analysis")]

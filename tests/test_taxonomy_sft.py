@@ -64,6 +64,7 @@ def test_annotation_isolates_failures(spark):
     assert made.count() == 12
     assert annotate.stats(items, notes, made) == {"num_items": 4, "num_annotations": 2, "num_examples": 12, "num_failures": 2}
     assert sorted(r.item_id for r in annotate.failed_items(items, notes).collect()) == ["2", "3"]
+    assert [len(json.loads(r.examples)) for r in sft.serialised(made).collect()] == [6, 6]
     last = made.where("id = '1'").orderBy(F.desc("ex_ord")).first()
     assert [m.role for m in last.messages] == ["user", "assistant"] * 2 and last.ex_ord == 5
     assert made.where(~sft.well_formed(F.col("messages"))).count() == 0 and not calls
