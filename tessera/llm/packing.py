@@ -2,7 +2,7 @@
 
 Each task keeps a fixed number of open windows. A document is cut into full sequences and a rest; the rest goes to the
 open window that it fills best, or, where it fits none, to a new window, for which the fullest window is emitted if all
-are in use. Windows still open at the end carry their ids to a second step, which merges those of 64 tasks: they are
+are in use. Windows still open at the end carry their ids to a second step, which merges those of eight tasks: they are
 laid end to end and cut where a sequence is full, so that a group leaves one partly filled sequence.
 """
 
@@ -23,7 +23,7 @@ from tessera.llm.common import record_batch, slices, stored, texts_of
 CAPACITY = 1024
 OPEN_WINDOWS = 256
 #: Tasks whose leftovers are merged together; times OPEN_WINDOWS sequences at most.
-MERGED_TASKS = 64
+MERGED_TASKS = 8
 _MERGED = 1 << 62
 
 _PIECES = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
