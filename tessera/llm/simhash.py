@@ -10,6 +10,7 @@ alternating minimum steps over those forests.
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
 import numpy as np
@@ -25,6 +26,9 @@ SEED = 42
 SHINGLE = 3
 BITS = 64
 DISTANCE = 3
+#: Bytes of a text that are split into words at once.
+PART_BYTES = 1 << 18
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 #: Fingerprints of one branch that a task joins as one trie; larger branches are dealt out as pairs of such parts.
 BRANCH_PART = 8192
 #: Values after which the whole branches held so far are joined.
@@ -33,22 +37,36 @@ STEP_VALUES = 1 << 17
 FRONTIER = 1 << 20
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    """SimHash of one text: a bit is set where over half of the shingle hashes have it; no words give 0."""
-    words = text.encode().translate(LOWER).split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    n = max(1, len(words) - shingle + 1)
+def _ones(words: list[bytes], shingle: int) -> tuple[np.ndarray, int]:
+    """How often each bit is set in the hashes of the words' shingles, and how many these are."""
+    joined, n = b" ".join(words), max(1, len(words) - shingle + 1)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(sizes) - 1
     begin = (ends - sizes + 1)[:n].tolist()
     stop = ends[min(shingle, len(words)) - 1 :].tolist()
     h = xxhash.xxh64_intdigest
     hashes = np.fromiter((h(joined[a:b], SEED) for a, b in zip(begin, stop)), np.uint64, n)
-    ones = np.zeros(BITS, np.int64)
-    for at in range(0, n, 65_536):
-        ones += np.unpackbits(hashes[at : at + 65_536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64), n
+
+
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """SimHash of one text: a bit is set where over half of the shingle hashes have it; no words give 0.
+
+    A long text is read in parts that end at white space and overlap by a shingle less one word, so memory is bounded.
+    """
+    raw, at, held = text.encode().translate(LOWER), 0, []
+    ones, n = np.zeros(BITS, np.int64), 0
+    while at < len(raw):
+        gap = _GAP.search(raw, at + PART_BYTES)
+        stop = gap.end() if gap else len(raw)
+        held += raw[at:stop].split()
+        at = stop
+        if len(held) >= shingle:
+            more, k = _ones(held, shingle)
+            ones, n, held = ones + more, n + k, held[len(held) - shingle + 1 :]
+    if not n and held:
+        ones, n = _ones(held, shingle)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 

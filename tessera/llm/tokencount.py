@@ -49,14 +49,15 @@ def pieces(text: str, size: int = PIECE_CHARS):
 
 
 def balanced(parts: list[str], limit: int = BATCH_BYTES):
-    """Indices of parts in batches of about `limit` characters, like lengths together."""
+    """Indices of parts in batches of about `limit` bytes, like sizes together."""
+    sizes = [len(p.encode()) for p in parts]
     group, size = [], 0
-    for i in sorted(range(len(parts)), key=lambda i: len(parts[i])):
-        if group and size + len(parts[i]) > limit:
+    for i in sorted(range(len(parts)), key=sizes.__getitem__):
+        if group and size + sizes[i] > limit:
             yield group
             group, size = [], 0
         group.append(i)
-        size += len(parts[i])
+        size += sizes[i]
     if group:
         yield group
 

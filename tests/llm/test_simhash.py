@@ -75,6 +75,14 @@ def test_links_keep_every_component_whatever_the_part_size(spark):
         assert {v: root(v) for v in values} == want
 
 
+def test_long_texts_in_parts(monkeypatch, texts):
+    whole = [simhash.fingerprint(t or "") for t in texts]
+    assert whole == [plain_fingerprint(t) for t in texts]
+    for size in (1, 7, 64):
+        monkeypatch.setattr(simhash, "PART_BYTES", size)
+        assert [simhash.fingerprint(t or "") for t in texts] == whole
+
+
 def test_other_block_choices_are_exact(monkeypatch):
     rng = np.random.default_rng(1)
     v = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
