@@ -13,6 +13,7 @@ Conventions that hold for every operator of the package:
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -43,9 +44,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under the shared folder."""
-    return f"{shared_dir(spark)}/tessera-{label}-{uuid.uuid4().hex}"
+    """A fresh folder name under the shared folder; what is there when the driver ends is removed."""
+    _MADE.append(f"{shared_dir(spark)}/tessera-{label}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+@atexit.register
+def sweep() -> None:
+    """Remove the intermediate folders of this driver. Results that still read them must be written before."""
+    while _MADE:
+        with contextlib.suppress(OSError, ValueError, NotImplementedError):
+            fs, path = located(_MADE.pop())
+            fs.delete_dir(path)
 
 
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
@@ -120,10 +134,14 @@ def words_of(texts: pa.Array, table: bytes | None = None) -> tuple[np.ndarray, p
     return coded.indices.to_numpy(), coded.dictionary, kept[ends]
 
 
-def hashes_of(words: pa.Array, seed: int = 0) -> np.ndarray:
+def hashes_of(words: pa.Array) -> np.ndarray:
     """XXH64 of each word."""
-    h = xxhash.xxh64_intdigest
-    return np.fromiter((h(w, seed) for w in words.to_pylist()), np.uint64, len(words))
+    _, offsets, data = words.buffers()
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    at = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].tolist()
+    raw, h = bytes(data), xxhash.xxh64_intdigest
+    return np.fromiter([h(raw[i:j]) for i, j in zip(at, at[1:])], np.uint64, len(words))
 
 
 def _inverse(m: int) -> int:

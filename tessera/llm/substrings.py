@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import covered, get, hashes_of, put, record_batch, rolling, scratch, slices, starts_of, stored, texts_of, words_of
+from tessera.llm.common import covered, get, hashes_of, mixed, put, record_batch, rolling, scratch, slices, starts_of, stored, texts_of, words_of
 
 WINDOW = 13
 SKETCH_BITS = 36
@@ -72,9 +72,10 @@ class Windows:
         for b in slices(rows.to_batches(), text_col):
             codes, words, offsets = words_of(texts_of(b, text_col))
             start = starts_of(offsets, k)
-            first.append(rolling(hashes_of(words)[codes], k)[start])
+            hashes = hashes_of(words)
+            first.append(rolling(hashes[codes], k)[start])
             if second:
-                other.append(rolling(hashes_of(words, 1)[codes], k, _SECOND)[start].astype(np.uint32))
+                other.append(rolling(mixed(hashes ^ np.uint64(_SECOND))[codes], k, _SECOND)[start].astype(np.uint32))
             doc.append(at + np.searchsorted(offsets, start, side="right") - 1)
             self.starts.append(start + base)
             self.parts.append((at, codes, words, offsets, base))
@@ -95,9 +96,17 @@ class Windows:
         edges = np.searchsorted(cell, np.arange((1 << shard_bits) + 1, dtype=np.uint64) << np.uint64(SKETCH_BITS - shard_bits))
         return cell, twice, edges
 
-    def groups(self, among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Windows in order of (hash, id, place), where each different one begins in that order, and its smallest id."""
-        w = np.arange(len(self.h1)) if among is None else among
+    def repeated(self) -> np.ndarray:
+        """Windows whose first hash occurs again in the block."""
+        order = np.argsort(self.h1)
+        same = self.h1[order[1:]] == self.h1[order[:-1]]
+        again = np.zeros(len(order), bool)
+        again[order[1:][same]] = True
+        again[order[:-1][same]] = True
+        return np.flatnonzero(again)
+
+    def groups(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows `w` in order of (hash, id, place), where each different one begins in that order, and its smallest id."""
         w = w[np.lexsort((self.doc[w], self.h2[w], self.h1[w]))]
         new = np.ones(len(w), bool)
         new[1:] = (self.h1[w][1:] != self.h1[w][:-1]) | (self.h2[w][1:] != self.h2[w][:-1])
@@ -237,15 +246,15 @@ def _apply(spark: SparkSession, docs: DataFrame, k: int, id_col: str, text_col:
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = _load(f"{folder}/{key[0].as_py()}.parquet")
         w = Windows(rows, text_col, id_col, k, True)
-        order, begin, least = w.groups()
-        group = np.empty(len(order), np.int64)
-        group[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
-        outside = np.zeros(len(begin), bool)
+        hit = np.zeros(len(w.h1), bool)
         for b in batches:
             for m in b.column(b.schema.get_field_index("marks")):
                 if m.is_valid:
-                    outside[group[np.cumsum(unpacked(m.as_py(), "<u4")[0])]] = True
-        hit = outside[group] | (w.doc > least[group]) if len(group) else np.zeros(0, bool)
+                    hit[np.cumsum(unpacked(m.as_py(), "<u4")[0])] = True
+        order, begin, least = w.groups(w.repeated())
+        if len(order):
+            size = np.diff(np.append(begin, len(order)))
+            hit[order] = np.repeat(np.logical_or.reduceat(hit[order], begin), size) | (w.doc[order] > np.repeat(least, size))
         gone = covered(w.starts[hit], k, w.n_words)
         for at, codes, words, offsets, base in w.parts:
             out = gone[base : base + len(codes)]
