@@ -43,8 +43,7 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 def host_path(url: Column) -> tuple[Column, Column]:
     """Host: after the first `://` to `/`, `?`, `#` or the end, A-Z lower-cased; path: from there to `?`, `#` or the end."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring({0}, locate('://', {0}) + 3)".format("url")))
-    rest = F.coalesce(rest, F.lit(""))
+    rest = F.coalesce(F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1), F.lit(""))
     host = F.regexp_extract(rest, r"^([^/?#]*)", 1)
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
