@@ -15,8 +15,8 @@ def ordinal(df: DataFrame, *by: Column | str, name: str = "ordinal", first: int
     partition's first place. Ties keep an arbitrary but fixed order.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-"))
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))  # single-machine sessions only
     held = df.orderBy(*by).withColumn(name, F.monotonically_increasing_id()).checkpoint()
     part = F.shiftright(F.col(name), 33)
     sizes = {r["p"]: r["count"] for r in held.groupBy(part.alias("p")).count().collect()}

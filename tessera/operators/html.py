@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import col
 
 _SILENT = {"script", "style", "template"}
+# Fixed value: what stands in a text for its n-th image.
 MARKER = "__IMG_MARKER_%d__"
 
 

@@ -10,6 +10,7 @@ from tessera.sources.connectors import Request, persistent
 from tessera.sources.writers import append_line
 
 _TEXTS = "list of str"
+# The fields of each decision and their types.
 FORMS: dict[str, dict[str, object]] = {
     "decide_modality": {"modality": ("text", "image", "multimodal"), "confidence": float, "rationale": str},
     "select_components": {k: str for k in ("dataset_loader_key", "model_loader_key", "lora_preset_key", "trainer_key", "hf_model_id", "primary_metric", "rationale")},

@@ -28,6 +28,7 @@ def _fenced(value) -> str:
 
 def render(run_dir: str, dataset_summary: dict, component_selection: dict, iterations: list[dict], cluster_preview: dict, error_analysis: dict, title: str = "Fine-tuning report") -> str:
     """Write report.md and return its path."""
+    # Names and order of the sections.
     sections = [
         ("Dataset Summary", _fenced(dataset_summary)),
         ("Agent Decisions", _fenced(records(os.path.join(run_dir, "agent_decisions.jsonl")))),

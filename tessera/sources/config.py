@@ -9,6 +9,7 @@ from dataclasses import asdict, dataclass, fields, replace
 
 @dataclass(frozen=True)
 class TrainConfig:
+    # Names and defaults of the training settings.
     lr: float = 2e-4
     batch_size: int = 4
     grad_accum: int = 4
@@ -28,6 +29,7 @@ class TrainConfig:
 
 @dataclass(frozen=True)
 class PipelineConfig:
+    # Names and defaults of the settings of a run.
     country: str
     sft_target_language: str
     hf_model_id: str
