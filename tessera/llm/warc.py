@@ -157,9 +157,10 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), html.alias("html"))
-    key = F.when(F.octet_length("html") >= REVISIT_BYTES, F.concat_ws(":", F.sha1("html"), F.octet_length("html").cast("string"))).alias("key")
-    first = rows.select("page_id", key).where("key is not null").groupBy("key").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
-    joined = rows.withColumn("key", key).join(first.hint("shuffle_hash"), "key", "left")
+    key = F.when(F.octet_length("html") >= REVISIT_BYTES, F.concat_ws(":", F.sha1("html"), F.octet_length("html").cast("string")))
+    first = rows.select("page_id", key.alias("key")).where("key is not null").groupBy("key").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
+    spread = F.coalesce(key, F.concat(F.lit("-"), F.coalesce(F.col("page_id").cast("string"), F.lit(""))))  # small payloads meet nothing and are dealt out
+    joined = rows.withColumn("key", spread).join(first.hint("shuffle_hash"), "key", "left")
     return joined.select("page_id", "url", "html", F.when(F.col("first") != F.coalesce("page_id", F.lit(-(1 << 63))), F.col("first")).alias("first"))
 
 
