@@ -174,7 +174,11 @@ def hits(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **cols) ->
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **cols) -> DataFrame:
-    """The rows that are not contaminated, with all their columns."""
+    """The rows that are not contaminated, with all their columns.
+
+    Rows without words stay; rows equal in id and text stay or go together, whatever their other columns; ids may be null;
+    an empty benchmark keeps every row, an empty table gives none.
+    """
     bad = stored(spark, hits(spark, docs, benchmark, id_col=id_col, text_col=text_col, **cols).where("contaminated").select(F.col("doc_id").alias("bad_doc"), F.col("text_key").alias("bad_key")).distinct(), "contaminated")
     same = docs[id_col].cast(T.LongType()).eqNullSafe(bad.bad_doc) & (F.xxhash64(docs[text_col]) == bad.bad_key)
     return docs.join(bad, same, "left_anti")

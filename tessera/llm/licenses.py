@@ -66,9 +66,10 @@ def _spaces(text: Column) -> Column:
 
 
 def _base(spaced: Column, phrases) -> dict[str, Column]:
-    any_of = "|".join(re.escape(p).replace("\\ ", " ") for p, _ in phrases)
+    plain = {p: re.escape(p).replace("\\ ", " ") for p, _ in phrases}
+    any_of = "|".join(plain.values())
     found = spaced.rlike(f"(?i) (?:{any_of}) ") if phrases else F.lit(False)
-    count = {p: F.regexp_count(spaced, F.lit(f"(?i) (?={p} )")) for p, _ in phrases}
+    count = {p: F.regexp_count(spaced, F.lit(f"(?i) (?={x} )")) for p, x in plain.items()}
     before = lambda lead: _spaces(F.regexp_extract(spaced, f"(?is)^({lead}) (?:{any_of}) ", 1)).cast("long")
     labels = F.array_sort(F.array_distinct(F.filter(F.array(*(F.when(count[p] > 0, F.lit(label)) for p, label in phrases)), lambda x: x.isNotNull()))) if phrases else F.array().cast("array<string>")
     return {

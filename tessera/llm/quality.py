@@ -169,7 +169,11 @@ def measure(docs: DataFrame, bytes_path: str | None = None, pieces_path: str | N
 
 
 def accepted(docs: DataFrame, bytes_path: str | None = None, pieces_path: str | None = None, bands=None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows that the rules keep, with all their columns unchanged."""
+    """The rows that the rules keep, with all their columns unchanged.
+
+    Null, empty and short texts go, whatever their other columns; repeated rows stay or go together; columns may have any
+    name; an empty table gives no rows.
+    """
     (a, b), lang = _paths(bytes_path, pieces_path), lang_col if lang_col in docs.columns else None
     rules = bands or BANDS
 

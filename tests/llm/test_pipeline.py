@@ -78,6 +78,15 @@ def test_stages_match_brute_force(spark):
     test_tokens.whole(after.collect(), before, 0)
 
 
+def test_stages_take_empty_tables_nulls_and_further_columns(spark, docs, empty):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
+        out = stage(spark, docs, SF)
+        assert out.count() > 0
+        if name != "packing":
+            assert out.columns == docs.columns
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
