@@ -18,6 +18,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,21 +28,23 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one vectorised step works on at once; a longer single text is a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Lower-cases A-Z and turns every ASCII character that is no letter or digit into a space.
 ALNUM = bytes(LOWER[c] if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    found = tempfile.mkdtemp(prefix="tessera-")
+    atexit.register(shutil.rmtree, found, True)
+    return found
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the shared folder; a temporary one is set where the session names none (single-machine tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="tessera-")
-        atexit.register(shutil.rmtree, found, True)
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    """URI of the shared folder; a temporary one only where the session names none (single-machine tests)."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
 
 
 _MADE: list[str] = []

@@ -35,7 +35,7 @@ from tessera.llm.common import covered, get, hashes_of, mixed, put, record_batch
 WINDOW = 13
 SKETCH_BITS = 36
 #: Text bytes of a block, which a task holds at once with its hashes, and of a shard's share of windows.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 24 << 20
 #: A null id is larger than any other.
 NO_ID = (1 << 63) - 1
