@@ -30,9 +30,10 @@ def is_excluded(url: Column | str, domains: Iterable[str] = EXCLUDED_DOMAINS) ->
 
 def first_hits(hits: DataFrame, n: int | None = None, domains: Iterable[str] = EXCLUDED_DOMAINS) -> DataFrame:
     """Of hits (query, rank, link, …) the best-ranked row of each link in each query, without empty and excluded links;
-    then the best `n` of each query. Both windows share one shuffle by query; the second becomes a group limit."""
+    then the best `n` of each query. Links are dealt out by (query, link), and only the best n of each task go on to the
+    second window, so a query with most of the hits burdens no task."""
     usable = hits.where((F.coalesce("link", F.lit("")) != "") & ~is_excluded("link", domains))
-    kept = usable.repartition("query").withColumn("_first", F.row_number().over(W.partitionBy("query", "link").orderBy("rank"))).where("_first = 1").drop("_first")
+    kept = usable.withColumn("_first", F.row_number().over(W.partitionBy("query", "link").orderBy("rank"))).where("_first = 1").drop("_first")
     if n is None:
         return kept
     return kept.withColumn("_place", F.row_number().over(W.partitionBy("query").orderBy("rank"))).where(F.col("_place") <= n).drop("_place")

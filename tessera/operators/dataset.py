@@ -25,14 +25,19 @@ def modality(columns: Iterable[str]) -> list[str]:
     return ["text"] * text + ["image"] * image + ["multimodal"] * (text and image)
 
 
+def missing(df: DataFrame, columns: Iterable[str] | None = None) -> dict[str, Column]:
+    """For each text column, the count of its null or blank values as an aggregate."""
+    names = [c for c in (TEXT_COLUMNS if columns is None else columns) if c in df.columns]
+    return {c: F.count_if(F.col(c).isNull() | (T.strip(F.col(c).cast("string")) == "")) for c in names}
+
+
 def warnings(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """(column, n_missing): text columns with null or blank values, all counted in one pass."""
-    names = [c for c in (TEXT_COLUMNS if columns is None else columns) if c in df.columns]
-    if not names:
+    counts = missing(df, columns)
+    if not counts:
         return df.sparkSession.createDataFrame([], "column string, n_missing long")
-    blank = [F.count_if(F.col(c).isNull() | (T.strip(F.col(c).cast("string")) == "")).alias(c) for c in names]
-    one = df.agg(*blank)
-    return one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("n_missing")) for c in names))).alias("x")).select("x.*").where("n_missing > 0")
+    one = df.agg(*(c.alias(n) for n, c in counts.items()))
+    return one.select(F.explode(F.array(*(F.struct(F.lit(n).alias("column"), F.col(n).alias("n_missing")) for n in counts))).alias("x")).select("x.*").where("n_missing > 0")
 
 
 def warning_texts(df: DataFrame, columns: Iterable[str] | None = None) -> list[str]:

@@ -79,16 +79,17 @@ def tfidf(docs: DataFrame, key: str, text: Column, vocabulary: int = VOCABULARY)
     """(key, term, weight): terms of two characters or more, the most frequent `vocabulary` of the corpus, smoothed
     inverse document frequency plus one, rows of length one.
 
-    Counts are pre-aggregated per (key, term); the vocabulary has a bounded size and is what the join broadcasts.
+    Counts are pre-aggregated per (key, term) and their exchange serves both the vocabulary and the weights; the vocabulary
+    has a bounded size and is what the join broadcasts.
     """
     words = F.regexp_extract_all(F.lower(text), F.lit(f"({T.TERM})"), 1)
-    counts = docs.select(key, F.explode(words).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    n = docs.agg(F.count("*").alias("n"))
+    counts = docs.select(key, F.explode(words).alias("term")).where("term is not null").groupBy(key, "term").agg(F.count("*").alias("tf"))
+    n = docs.count()
     terms = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df")).orderBy(F.desc("total"), "term").limit(vocabulary)
-    idf = terms.crossJoin(F.broadcast(n)).select("term", (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    idf = terms.select("term", (F.ln(F.lit(1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
     raw = counts.join(F.broadcast(idf), "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, key).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key)))
+    return raw.select(key, "term", (F.col("w") / norm).alias("weight"))
 
 
 def cluster_count(n: int) -> int:

@@ -306,8 +306,8 @@ def chat_input_output(spark, sf_dir):
 cast(count_if(text is null or {T.ws_sql('text')} = '') > 0 as bigint) as n_warnings from documents""")
 def dataset_summary(spark, sf_dir):
     d = _docs(spark, sf_dir)
-    warned = dataset.warnings(d).agg(F.count("*").alias("n_warnings"))
-    return d.agg(F.count("*").alias("sample_count")).crossJoin(warned).select(F.lit(",".join(d.columns)).alias("columns"), "sample_count", F.lit(",".join(dataset.modality(d.columns))).alias("modality_candidates"), "n_warnings")
+    warned = sum(((c > 0).cast("long") for c in dataset.missing(d).values()), F.lit(0).cast("long"))
+    return d.agg(F.lit(",".join(d.columns)).alias("columns"), F.count("*").alias("sample_count"), F.lit(",".join(dataset.modality(d.columns))).alias("modality_candidates"), warned.alias("n_warnings"))
 
 
 @_query("select 'prompt' as \"column\", count(*) filter (n_chars % 5 = 0 or n_chars % 7 = 0) as n_missing from documents having count_if(n_chars % 5 = 0 or n_chars % 7 = 0) > 0")
