@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -51,7 +52,8 @@ def _bytes_vocabulary(path: str):
 def _pieces_vocabulary(path: str):
     import sentencepiece
 
-    return sentencepiece.SentencePieceProcessor(model_file=path)
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    return model, np.fromiter((model.is_byte(i) for i in range(model.get_piece_size())), np.int64, model.get_piece_size())
 
 
 def _totals(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -103,6 +105,12 @@ def base_counts(texts: pa.Array, words=None) -> dict[str, np.ndarray]:
     return {"n_words": np.diff(offsets), "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": n_dup, "n_repeat_words": _totals(hit.astype(np.int64), offsets)}
 
 
+def _joined(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the lists, and all their items."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return sizes, np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
+
+
 def fertility(words, bytes_path: str, pieces_path: str, word_chars: np.ndarray) -> dict[str, np.ndarray]:
     """Characters per token, byte-fallback share, token entropy in bits and token count of each text.
 
@@ -111,17 +119,14 @@ def fertility(words, bytes_path: str, pieces_path: str, word_chars: np.ndarray)
     """
     codes, words_, offsets = words
     n_texts, plain = len(offsets) - 1, words_.to_pylist()
-    tokens = [_bytes_vocabulary(bytes_path).encode_ordinary(" " + w) for w in plain]
-    count = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    flat = np.fromiter((t for ids in tokens for t in ids), np.int64, int(count.sum()))
+    tokenise = _bytes_vocabulary(bytes_path).encode_ordinary
+    count, flat = _joined([tokenise(" " + w) for w in plain])
     at = np.concatenate([[0], np.cumsum(count)])
     n_tokens = _totals(count[codes], offsets)
 
-    model = _pieces_vocabulary(pieces_path)
-    encoded = model.encode(plain, num_threads=1) if plain else []
-    is_byte = np.fromiter((model.is_byte(i) for i in range(model.get_piece_size())), bool, model.get_piece_size())
-    pieces = np.fromiter(map(len, encoded), np.int64, len(encoded))
-    fallback = np.fromiter((sum(is_byte[ids]) for ids in encoded), np.int64, len(encoded))
+    model, is_byte = _pieces_vocabulary(pieces_path)
+    pieces, piece = _joined(model.encode(plain, num_threads=1) if plain else [])
+    fallback = _totals(is_byte[piece], np.concatenate([[0], np.cumsum(pieces)]))
     share = _totals(fallback[codes], offsets) / np.maximum(1, _totals(pieces[codes], offsets))
 
     each = count[codes]
