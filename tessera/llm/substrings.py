@@ -114,6 +114,11 @@ class Windows:
         return w, begin, self.doc[w[begin]]
 
 
+def _apart(df: DataFrame, n: int, key: str) -> DataFrame:
+    """Rows dealt out by a key of n values; three partitions a value keep most values from sharing one."""
+    return df.repartition(min(20_000, 3 * n), key)
+
+
 def _load(uri: str) -> pa.Table:
     return pq.read_table(pa.BufferReader(get(uri)))
 
@@ -173,7 +178,7 @@ def _repeated(sketches: DataFrame, shards: int) -> DataFrame:
             bits.append(np.packbits(again[i] == c).tobytes() if len(again) else np.packbits(np.zeros(len(c), bool)).tobytes())
         return pa.table([table.column("block").combine_chunks(), table.column("shard").combine_chunks(), pa.array(bits, pa.binary())], schema=out)
 
-    return sketches.where("shard >= 0").repartition(shards, "shard").groupBy("shard").applyInArrow(run, "block string, shard int, bits binary")
+    return _apart(sketches.where("shard >= 0"), shards, "shard").groupBy("shard").applyInArrow(run, "block string, shard int, bits binary")
 
 
 def _candidates(bits: DataFrame, folder: str, blocks: int, shard_bits: int, k: int, id_col: str, text_col: str) -> DataFrame:
@@ -202,7 +207,7 @@ def _candidates(bits: DataFrame, folder: str, blocks: int, shard_bits: int, k: i
             blobs.append(packed(np.diff(w.h1[f], prepend=np.uint64(0)), w.h2[f], w.doc[f], f.astype(np.uint32)))
         return pa.table([pa.array(shards, pa.int32()), pa.array([block] * len(shards), pa.string()), pa.array(blobs, pa.binary())], schema=out)
 
-    return bits.repartition(blocks, "block").groupBy("block").applyInArrow(run, "shard int, block string, windows binary")
+    return _apart(bits, blocks, "block").groupBy("block").applyInArrow(run, "shard int, block string, windows binary")
 
 
 def _elsewhere(candidates: DataFrame, shards: int) -> DataFrame:
@@ -229,7 +234,7 @@ def _elsewhere(candidates: DataFrame, shards: int) -> DataFrame:
         names, rows = table.column("block").to_pylist(), np.flatnonzero(np.diff(edge))
         return pa.table([pa.array([names[r] for r in rows], pa.string()), pa.array([packed(np.diff(place[edge[r] : edge[r + 1]], prepend=np.uint32(0))) for r in rows], pa.binary())], schema=out)
 
-    return candidates.repartition(shards, "shard").groupBy("shard").applyInArrow(run, "block string, marks binary")
+    return _apart(candidates, shards, "shard").groupBy("shard").applyInArrow(run, "block string, marks binary")
 
 
 def _apply(spark: SparkSession, docs: DataFrame, k: int, id_col: str, text_col: str, schema: T.StructType, finish) -> DataFrame:
@@ -239,7 +244,7 @@ def _apply(spark: SparkSession, docs: DataFrame, k: int, id_col: str, text_col:
     folder = scratch(spark, "blocks")
     sketches = _blocks(spark, docs, folder, shard_bits, k, id_col, text_col)
     names = sketches.where("shard = -1").select("block", F.lit(None).cast("binary").alias("marks"))
-    blocks = min(20_000, max(1, names.count()))
+    blocks = max(1, names.count())
     bits = _repeated(sketches, 1 << shard_bits)
     marks = _elsewhere(_candidates(bits, folder, blocks, shard_bits, k, id_col, text_col), 1 << shard_bits)
 
@@ -263,7 +268,7 @@ def _apply(spark: SparkSession, docs: DataFrame, k: int, id_col: str, text_col:
             n = np.diff(offsets)
             yield finish(rows.slice(at, len(n)), pc.binary_join(kept, " "), n, n - np.diff(stay))
 
-    return marks.unionByName(names).repartition(blocks, "block").groupBy("block").applyInArrow(run, schema)
+    return _apart(marks.unionByName(names), blocks, "block").groupBy("block").applyInArrow(run, schema)
 
 
 _DIGEST = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
