@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: The 29 code points that Python's str.split() and str.strip() take as white space; both engines read this class alike.
 WS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: The same code points one by one, for trimming.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 #: Words of two characters or more, for term weights.
 TERM = r"[\p{L}\p{N}_]{2,}"
 _HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/:?#]*)"
@@ -17,8 +19,8 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """str.strip()."""
-    return F.regexp_replace(col(c), f"^{WS}+|{WS}+$", "")
+    """str.strip(): looks at the ends only."""
+    return F.btrim(col(c), F.lit(SPACES))
 
 
 def normalise(c: Column | str) -> Column:

@@ -51,6 +51,8 @@ def _two_places(c: Column) -> Column:
 def flagged(predictions: DataFrame, with_similarity: bool = True) -> DataFrame:
     """All columns and empty_output, repetition, similarity, exact_match, too_short of (prediction, reference)."""
     has = F.coalesce(F.col("reference"), F.lit("")) != ""
+    if with_similarity:  # its cost grows with the product of two lengths, so rows are dealt out evenly
+        predictions = predictions.repartition(max(predictions.sparkSession.sparkContext.defaultParallelism, int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     rows = predictions.withColumn("_p", T.normalise(F.coalesce("prediction", F.lit("None")))).withColumn("_r", F.when(has, T.normalise("reference")))
     words = T.tokens(F.col("_p"))
     rows = rows.withColumn("n_tokens", F.size(words).cast("long")).withColumn("n_distinct", F.size(F.array_distinct(words)).cast("long"))

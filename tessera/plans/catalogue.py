@@ -44,11 +44,11 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.table(spark, sf_dir, name)
 
 
 def _docs(spark, sf_dir):
-    return _table(spark, sf_dir, "documents")
+    return readers.table(spark, sf_dir, "documents", spread=True)
 
 
 # Collection and cleaning

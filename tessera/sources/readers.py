@@ -13,6 +13,13 @@ from tessera.functions import jsontext
 from tessera.functions import text as T
 
 
+def table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    """A Parquet table of a folder; with `spread`, one with fewer splits than there are cores, such as a single small
+    file, is dealt out over them before costly work on its rows."""
+    df, cores = spark.read.parquet(f"{folder}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line_no, value) of a line file, from 1, blank lines counted.
 
