@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontam, licenses, packing, quality, simhash, substrings, tokencount, tokenids, urlfilter, warc
+from tessera.sources import readers
 
 #: The vocabulary whose ids and counts the queries return.
 BYTE_BPE = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.table(spark, sf_dir, name, spread=True)
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
