@@ -1,0 +1,199 @@
+"""Near copies by an exact self-join: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+
+Equal sets are collapsed. Two sets that similar share some of their first shingles in any common order (prefix filter);
+the order puts shingles that a sample shows in many texts last, which sets the cost and never the result. Sets that share
+prefix shingles are first compared with one leader each, so that a large group of copies is tied together by few
+comparisons; then every remaining pair of different components is compared. Both passes count common shingles exactly, so
+components are those of all links.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.llm.common import LOWER, hashes_of, rolling, slices, starts_of, stored, texts_of, words_of
+from tessera.llm.simhash import components
+
+SHINGLE = 5
+#: Least similarity, in hundredths, so that bounds stay exact.
+PERCENT = 80
+#: One text in so many is read for the order of shingles; those in SAMPLE_LEAST of them or more come last.
+SAMPLE, SAMPLE_LEAST, MAX_COMMON = 16, 8, 1 << 16
+#: Bits of the map that keeps texts of no candidate pair out of the comparison.
+MAP_BITS = 1 << 23
+
+_COMMON = np.uint64(1 << 63)
+
+
+def ties(n):
+    """Prefix shingles that a set of n shares at least with any similar set that is no smaller; prefixes are so much longer."""
+    return 1 + n // 50
+
+
+def shingle_sets(texts: pa.Array, common: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Different shingles of all texts, each text's in the order that puts `common` ones last, and where each text's start.
+
+    Shingles are 63-bit hashes of lower-cased words; a text of fewer words is one shingle, one without words has none.
+    `common` is sorted.
+    """
+    codes, words, offsets = words_of(texts, LOWER)
+    hashes, lengths = hashes_of(words)[codes], np.diff(offsets)
+    start = starts_of(offsets, shingle)
+    tokens = rolling(hashes, shingle)[start]
+    owner = np.searchsorted(offsets, start, side="right") - 1
+    short = np.flatnonzero((lengths > 0) & (lengths < shingle))
+    whole = [xxhash.xxh64_intdigest(hashes[offsets[i] : offsets[i + 1]].tobytes()) for i in short]
+    tokens = np.concatenate([tokens, np.array(whole, np.uint64)]) >> np.uint64(1)
+    owner = np.concatenate([owner, short])
+    if len(common):
+        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+        tokens = np.where(common[at] == tokens, tokens | _COMMON, tokens)
+    order = np.lexsort((tokens, owner))
+    tokens, owner = tokens[order], owner[order]
+    first = np.ones(len(tokens), bool)
+    first[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
+    tokens, owner = tokens[first], owner[first]
+    return tokens, np.searchsorted(owner, np.arange(len(texts) + 1))
+
+
+def _lists(tokens: np.ndarray, at: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(tokens.view(np.int64)))
+
+
+def _common(docs: DataFrame, text_col: str) -> np.ndarray:
+    """Shingles of many texts, sorted; at most MAX_COMMON."""
+    none = np.zeros(0, np.uint64)
+
+    def run(batches):
+        for b in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(texts_of(b, "text"), none)[0].view(np.int64))], names=["token"])
+
+    some = docs.select(F.col(text_col).alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
+    # Equal texts are collapsed later and fall into the sample together, so they count once.
+    found = some.distinct().mapInArrow(run, "token long").groupBy("token").count().where(F.col("count") >= SAMPLE_LEAST)
+    rows = found.orderBy(F.desc("count"), "token").limit(MAX_COMMON).collect()
+    return np.sort(np.array([r["token"] for r in rows], np.int64).view(np.uint64))
+
+
+def _with_sets(docs: DataFrame, text_col: str, common: np.ndarray, percent: int) -> DataFrame:
+    """All columns, and of each text's set its hash, size, prefix and how many shingles are not common."""
+
+    def run(batches):
+        for b in slices(batches, text_col):
+            tokens, at = shingle_sets(texts_of(b, text_col), common)
+            n = np.diff(at)
+            ids = np.fromiter((xxhash.xxh3_64_intdigest(tokens[i:j].tobytes()) for i, j in zip(at, at[1:])), np.uint64, len(n)).view(np.int64)
+            rare = np.diff(np.concatenate([[0], np.cumsum(tokens < _COMMON)])[at])
+            size = np.where(n > 0, n - (percent * n + 99) // 100 + ties(n), 0)
+            ends = np.concatenate([[0], np.cumsum(size)])
+            inside = np.repeat(at[:-1] - ends[:-1], size) + np.arange(ends[-1])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids), pa.array(n), pa.array(rare), _lists(tokens[inside], ends)], names=[*b.schema.names, *_ADDED])
+
+    fields = [T.StructField(c, T.LongType()) for c in _ADDED[:3]] + [T.StructField(_ADDED[3], T.ArrayType(T.LongType()))]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
+
+
+_ADDED = ("tessera_set", "tessera_size", "tessera_rare", "tessera_prefix")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """(token, s, n, lead, lead_n) of the different sets of each token that several hold; the one with least rare shingles leads.
+
+    Rows of a token stream through one task in order, so no task holds them; a token has one row a text at most.
+    """
+
+    def run(batches):
+        lead, last, told = None, None, False
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t, s, n = (b.column(i).to_numpy() for i in range(3))
+            if lead is not None:
+                t, s, n = (np.concatenate([[x], y]) for x, y in zip(lead, (t, s, n)))
+            new = np.concatenate([[True], t[1:] != t[:-1]])
+            group, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+            before = np.concatenate([s[:1], s[:-1]])
+            if lead is not None:
+                before[1] = last
+            follow = np.flatnonzero(~new & (s != before))
+            led = np.unique(group[follow])
+            at = np.concatenate([starts[led[1:] if told and len(led) and led[0] == 0 else led], follow])
+            first = starts[group[at]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t[at], s[at], n[at], s[first], n[first])], names=["token", "s", "n", "lead", "lead_n"])
+            told = (told and group[-1] == 0) or bool(len(led) and led[-1] == group[-1])
+            lead, last = (t[starts[-1]], s[starts[-1]], n[starts[-1]]), s[-1]
+
+    dealt = rows.repartition("token").sortWithinPartitions("token", "rare", "s")
+    return dealt.select("token", "s", "n").mapInArrow(run, "token long, s long, n long, lead long, lead_n long")
+
+
+def _confirmed(spark: SparkSession, pairs: DataFrame, held: DataFrame, text_col: str, percent: int) -> DataFrame:
+    """The (a, b) of `pairs` that are similar enough."""
+    slot = F.pmod("x", F.lit(MAP_BITS))
+    marks = pairs.select(F.explode(F.array("a", "b")).alias("x")).groupBy(F.shiftright(slot, 5).cast("int").alias("at"))
+    marks = marks.agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(x, {MAP_BITS}) & 31 as int))")).alias("bits"))
+    bitmap = np.zeros(MAP_BITS >> 5, np.uint32)
+    for r in marks.collect():  # at most MAP_BITS / 32 rows
+        bitmap[r["at"]] = r["bits"]
+    none = np.zeros(0, np.uint64)
+
+    def run(batches):
+        for b in slices(batches, "text"):
+            x = b.column(0).to_numpy()
+            slots = x % MAP_BITS
+            b = b.filter(pa.array((bitmap[slots >> 5] >> (slots & 31).astype(np.uint32)) & 1 == 1))
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column(0), _lists(*shingle_sets(texts_of(b, "text"), none))], names=["x", "tokens"])
+
+    sets = held.select(F.col(_ADDED[0]).alias("x"), F.col(text_col).alias("text")).mapInArrow(run, "x long, tokens array<long>")
+    sets = sets.groupBy("x").agg(F.first("tokens").alias("tokens"))
+    left = sets.select(F.col("x").alias("a"), F.col("tokens").alias("p"))
+    right = sets.select(F.col("x").alias("b"), F.col("tokens").alias("q"))
+    both = pairs.join(left.hint("shuffle_hash"), "a").join(right.hint("shuffle_hash"), "b")
+    same = F.size(F.array_intersect("p", "q"))
+    near = both.where(100 * same >= percent * (F.size("p") + F.size("q") - same))
+    return stored(spark, near.select("a", "b"), "near")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of near copies with all its columns: that of the smallest id (nulls last).
+
+    Texts without words are copies of each other; repeated rows count once; an empty table gives no rows.
+    """
+    row = "tessera_row"
+    made = _with_sets(docs, text_col, _common(docs, text_col), percent).withColumn(row, F.monotonically_increasing_id())
+    held = stored(spark, made, "copies")
+    s, n, rare, prefix = (F.col(c) for c in _ADDED)
+    rows = held.select(F.explode(prefix).alias("token"), s.alias("s"), n.alias("n"), rare.alias("rare"))
+    met = stored(spark, _shared(rows), "prefixes")
+    sized = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+    # Half of the ties are asked of a leader, as others may lead the rest; what this leaves out, the second pass sees.
+    first = met.where((F.col("s") != F.col("lead")) & sized(F.col("n"), F.col("lead_n"))).groupBy("s", "lead").agg(F.count("*").alias("c"), F.min(F.least("n", "lead_n")).alias("n"))
+    first = first.where(F.col("c") * 2 >= 1 + F.floor(F.col("n") / 50)).select(F.least("s", "lead").alias("a"), F.greatest("s", "lead").alias("b")).distinct()
+    first = stored(spark, first, "pairs")
+    near = _confirmed(spark, first, held, text_col, percent)
+    named = components(spark, near).select(F.col("node").alias("s"), "root")
+
+    apart = met.select("token", "s", "n").join(named.hint("shuffle_hash"), "s", "left").withColumn("root", F.coalesce("root", "s"))
+    apart = stored(spark, apart, "apart")
+    mixed = apart.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
+    apart = apart.join(mixed.hint("shuffle_hash"), "token", "left_semi")
+    x, y = apart.alias("x"), apart.alias("y")
+    differ = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root")) & sized(F.col("x.n"), F.col("y.n"))
+    pairs = x.join(y.hint("shuffle_hash"), differ).select(F.least("x.s", "y.s").alias("a"), F.greatest("x.s", "y.s").alias("b"), F.least("x.n", "y.n").alias("n"))
+    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.min("n").alias("n")).where(F.col("c") >= 1 + F.floor(F.col("n") / 50)).select("a", "b")
+    pairs = stored(spark, pairs.join(first.hint("shuffle_hash"), ["a", "b"], "left_anti"), "pairs")
+    near = near.unionByName(_confirmed(spark, pairs, held, text_col, percent))
+    named = components(spark, near).select(F.col("node").alias("s"), "root")
+
+    key = F.struct(F.coalesce(F.col(id_col), F.lit((1 << 63) - 1)).alias("d"), F.col(row).alias("r"))
+    least = held.select(s.alias("s"), key.alias("k")).groupBy("s").agg(F.min("k").alias("k"))
+    known = least.join(named.hint("shuffle_hash"), "s", "left").select(F.coalesce("root", "s").alias("root"), "k")
+    stay = known.groupBy("root").agg(F.min("k").alias("k")).select(F.col("k.r").alias(row))
+    return held.join(stay.hint("shuffle_hash"), row, "left_semi").select(*docs.columns)

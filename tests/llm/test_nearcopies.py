@@ -1,0 +1,65 @@
+import random
+import re
+
+import corpus_pipeline
+from tessera.llm import nearcopies
+from tests.llm.conftest import SF, sentence
+from tests.llm.test_simhash import plain_components
+
+
+def shingles(text, k=5):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def plain(rows):
+    """Ids that stay; an id may repeat only with the same text."""
+    sets = [shingles(t) for _, t in rows]
+
+    def linked(i, j):
+        a, b = sets[i], sets[j]
+        return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+    root = plain_components(range(len(rows)), linked)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        d = (1 << 63) if d is None else d
+        least[root[i]] = min(d, least.get(root[i], d))
+    return sorted(least.values())
+
+
+def ids(df):
+    return sorted((1 << 63) if r.doc_id is None else r.doc_id for r in df.select("doc_id").collect())
+
+
+def edited(rng, text, n):
+    w = text.split()
+    for _ in range(n):
+        w[rng.randrange(len(w))] = f"new{rng.randrange(10**9)}"
+    return " ".join(w)
+
+
+def test_rows_match_brute_force(spark, docs, empty, monkeypatch):
+    rng = random.Random(11)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    for b in range(6):
+        base = " ".join(f"w{rng.randrange(400)}" for _ in range(rng.choice([45, 90, 200])))
+        rows += [(3000 + 100 * b + i, edited(rng, base, rng.choice([0, 1, 1, 2, 3, 6]))) for i in range(12)]
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows += [(5000 + i, passage + " " + sentence(rng, 40)) for i in range(25)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = plain(rows)
+    assert ids(nearcopies.one_of_each(spark, df)) == want
+    monkeypatch.setattr(nearcopies, "SAMPLE", 1)  # an order with many common shingles gives the same
+    monkeypatch.setattr(nearcopies, "SAMPLE_LEAST", 3)
+    assert ids(nearcopies.one_of_each(spark, df)) == want
+    assert nearcopies.one_of_each(spark, empty).count() == 0
+
+
+def test_stage_merges_copies_that_differ_in_several_words(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert got.columns == docs.columns and ids(got) == plain(rows)
+    assert {1, 6} <= set(ids(got)) and not {145, 177} & set(ids(got))  # 7 and 11 bits apart
