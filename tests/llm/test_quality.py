@@ -64,3 +64,38 @@ def test_measures_of_one_text():
     import math
 
     assert abs(m["entropy"][0] - -sum(x * math.log2(x) for x in p)) < 1e-9
+
+
+#: The opening of the Universal Declaration of Human Rights or the like; Thai and Chinese with spaces between words.
+PROSE = {
+    "latin": "Všichni lidé se rodí svobodní a sobě rovní co do důstojnosti a práv. Jsou nadáni rozumem a svědomím a mají spolu jednat v duchu bratrství. Každý má všechna práva a všechny svobody, stanovené touto deklarací.",
+    "greek": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση, και οφείλουν να συμπεριφέρονται μεταξύ τους με πνεύμα αδελφοσύνης.",
+    "cyrillic": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства. Каждый человек имеет право на жизнь, на свободу и на личную неприкосновенность.",
+    "armenian": "Բոլոր մարդիկ ծնվում են ազատ ու հավասար՝ իրենց արժանապատվությամբ և իրավունքներով։ Նրանք օժտված են բանականությամբ ու խղճով և պարտավոր են միմյանց նկատմամբ վարվել եղբայրության ոգով։ Յուրաքանչյուր ոք ունի կյանքի և ազատության իրավունք։",
+    "georgian": "ყველა ადამიანი იბადება თავისუფალი და თანასწორი თავისი ღირსებითა და უფლებებით. მათ მინიჭებული აქვთ გონება და სინდისი და ერთმანეთის მიმართ უნდა იქცეოდნენ ძმობის სულისკვეთებით. ყოველ ადამიანს აქვს სიცოცხლის უფლება.",
+    "hebrew": "כל בני האדם נולדו בני חורין ושווים בערכם ובזכויותיהם. כולם חוננו בתבונה ובמצפון, לפיכך חובה עליהם לנהוג איש ברעהו ברוח של אחווה. כל אדם זכאי לזכויות ולחרויות שנקבעו בהכרזה זו ללא הפליה כלשהי.",
+    "arabic": "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق، وقد وهبوا عقلا وضميرا وعليهم أن يعامل بعضهم بعضا بروح الإخاء. لكل إنسان حق التمتع بكافة الحقوق والحريات الواردة في هذا الإعلان دون أي تمييز.",
+    "devanagari": "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है। उन्हें बुद्धि और अन्तरात्मा की देन प्राप्त है और परस्पर उन्हें भाईचारे के भाव से बर्ताव करना चाहिए।",
+    "bengali": "সমস্ত মানুষ স্বাধীনভাবে সমান মর্যাদা এবং অধিকার নিয়ে জন্মগ্রহণ করে। তাঁদের বিবেক এবং বুদ্ধি আছে; সুতরাং সকলেরই একে অপরের প্রতি ভ্রাতৃত্বসুলভ মনোভাব নিয়ে আচরণ করা উচিত। প্রত্যেকের জীবন ও স্বাধীনতার অধিকার আছে।",
+    "tamil": "மனிதப் பிறவியினர் சகலரும் சுதந்திரமாகவே பிறக்கின்றனர்; அவர்கள் மதிப்பிலும் உரிமைகளிலும் சமமானவர்கள். அவர்கள் நியாயத்தையும் மனச்சாட்சியையும் இயற்பண்பாகப் பெற்றவர்கள். அவர்கள் ஒருவருடன் ஒருவர் சகோதர உணர்வுப் பாங்கில் நடந்துகொள்ளல் வேண்டும். எல்லோருக்கும் வாழும் உரிமை உண்டு.",
+    "telugu": "మానవులందరు స్వతంత్రులుగానే జన్మించినారు. వారు గౌరవం విషయంలో, హక్కుల విషయంలో సమానులు. వారు తెలివి, మనస్సాక్షి కలిగిన వారు. వారు ఒకరి పట్ల ఒకరు సోదర భావంతో మెలగాలి. ప్రతి మనిషికి జీవించే హక్కు ఉంది.",
+    "thai": "มนุษย์ ทั้งหลาย เกิดมา มี อิสระ และ เสมอภาค กัน ใน เกียรติศักดิ์ และ สิทธิ ต่าง มี เหตุผล และ มโนธรรม และ ควร ปฏิบัติ ต่อ กัน ด้วย เจตนารมณ์ แห่ง ภราดรภาพ",
+    "hangul": "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며 서로 형제애의 정신으로 행동하여야 한다. 모든 사람은 생명과 신체의 자유와 안전에 대한 권리를 가진다.",
+    "ethiopic": "የሰው ልጅ ሁሉ ሲወለድ ነጻና በክብርና በመብትም እኩልነት ያለው ነው። የተፈጥሮ ማስተዋልና ሕሊና ስላለው አንዱ ሌላውን በወንድማማችነት መንፈስ መመልከት ይገባዋል። እያንዳንዱ ሰው የመኖር ነጻነትና ደህንነት መብት አለው።",
+    "han": "人人 生而 自由 ， 在 尊严 和 权利 上 一律 平等 。 他们 赋有 理性 和 良心 ， 并 应 以 兄弟 关系 的 精神 相 对待 。 人人 有 资格 享有 本 宣言 所载 的 一切 权利 和 自由 。",
+    "kana": "すべての 人間は、 生まれながらに して 自由であり、 かつ、 尊厳と 権利とに ついて 平等である。 人間は、 理性と 良心とを 授けられて おり、 互いに 同胞の 精神を もって 行動しなければ ならない。 すべて 人は、 生命、 自由 及び 身体の 安全に 対する 権利を 有する。 何人も、 奴隷に されない。",
+}
+
+
+def test_clean_prose_of_every_script_is_kept(spark):
+    rows = [(i, t, lang) for i, t in enumerate(PROSE.values()) for lang in (None, "xx")]
+    rows.append((101, " ".join("%%%%" * (1 + i * i % 97) for i in range(400)), None))
+    got = quality.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r.doc_id for r in got if not r.kept and r.doc_id < 100} == set()
+    assert not any(r.kept for r in got if r.doc_id == 101)
+
+
+def test_script_of_a_text():
+    names = {"han": "cjk", "kana": "cjk"}
+    assert {k: quality.script(t) for k, t in PROSE.items()} == {k: names.get(k, k) for k in PROSE}
+    assert [quality.script(t) for t in ("", "12 %", "Города 2024 abc", "ગુજરાતી", "\U00013000\U00013001")] == ["latin", "latin", "cyrillic", "*", "*"]
