@@ -418,8 +418,8 @@ def tfidf_weights(spark, sf_dir):
 
 @_query()
 def failure_clusters(spark, sf_dir):
-    failed = evaluate.failures(_predictions(spark, sf_dir), False)
-    return evaluate.failure_clusters(failed, n_init=2).select("id", "cluster")
+    failed = evaluate.failures(_predictions(spark, sf_dir)).persist()  # read several times; its similarities are costly
+    return evaluate.failure_clusters(failed).select("id", "cluster")
 
 
 @_query("""with e as (select label as cluster, vec_id, row_number() over (partition by label order by vec_id) as n from embeddings)

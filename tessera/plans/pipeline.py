@@ -135,7 +135,7 @@ class Pipeline:
         clusters = {"clusters": []}
         n = failed.count()
         if n:
-            shown = evaluate.preview(evaluate.failure_clusters(failed, n_init=2))
+            shown = evaluate.preview(evaluate.failure_clusters(failed))
             clusters = {"clusters": [{"cluster": r["cluster"], "count": r["count"], "examples": [e.asDict() for e in r["examples"]]} for r in shown.collect()]}
         return {"predictions_path": self.path("eval", "predictions.jsonl"), "failures_path": self.path("eval", "failures.jsonl"), "cluster_preview": clusters, "total_failures": n}
 

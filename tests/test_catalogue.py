@@ -50,3 +50,14 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
     top = catalogue.queries()["url_dedup_topn"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in top and "html" not in top
+
+
+def test_failure_clusters_take_all_failures_and_ten_starts(spark, monkeypatch):
+    from tessera.operators import evaluate
+
+    starts, made = [], evaluate.clustered
+    monkeypatch.setattr(evaluate, "clustered", lambda features, n, n_init=10, seed=42: starts.append(n_init) or made(features, n, n_init, seed))
+    got = sorted(r.id for r in catalogue.queries()["failure_clusters"](spark, SF).collect())
+    want = evaluate.failures(catalogue._predictions(spark, SF))
+    assert got == sorted(r.id for r in want.select("id").collect()) and starts == [10]
+    assert len(got) > evaluate.failures(catalogue._predictions(spark, SF), False).count()
