@@ -8,21 +8,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def ordinal(df: DataFrame, *by: Column | str, name: str = "ordinal", first: int = 1) -> DataFrame:
-    """All columns and each row's place in the order `by`.
+def held(df: DataFrame) -> DataFrame:
+    """The rows, evaluated once and kept in the shared folder.
 
-    Rows are range-sorted once and checkpointed; the sizes of the sorted partitions, one number each, give every
-    partition's first place. Ties keep an arbitrary but fixed order.
+    Only a session on a single machine that names no folder gets a temporary one; on a cluster that is an error.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))  # single-machine sessions only
-    held = df.orderBy(*by).withColumn(name, F.monotonically_increasing_id()).checkpoint()
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-"))
+    return df.checkpoint()
+
+
+def numbered(df: DataFrame, name: str = "ordinal", first: int = 1) -> DataFrame:
+    """All columns and each row's place in the table as it is read; one count a partition reaches the driver."""
+    rows = held(df.withColumn(name, F.monotonically_increasing_id()))
     part = F.shiftright(F.col(name), 33)
-    sizes = {r["p"]: r["count"] for r in held.groupBy(part.alias("p")).count().collect()}
+    sizes = {r["p"]: r["count"] for r in rows.groupBy(part.alias("p")).count().collect()}
     starts, at = [], first
     for p in range(max(sizes, default=-1) + 1):
         starts.append(at)
         at += sizes.get(p, 0)
     start = F.get(F.lit(starts), part.cast("int")) if starts else F.lit(first)
-    return held.withColumn(name, (start + F.col(name).bitwiseAND(F.lit((1 << 33) - 1))).cast("long"))
+    return rows.withColumn(name, (start + F.col(name).bitwiseAND(F.lit((1 << 33) - 1))).cast("long"))
+
+
+def ordinal(df: DataFrame, *by: Column | str, name: str = "ordinal", first: int = 1) -> DataFrame:
+    """All columns and each row's place in the order `by`.
+
+    Rows are range-sorted once and checkpointed; the sizes of the sorted partitions, one number each, give every
+    partition's first place. Ties keep an arbitrary but fixed order.
+    """
+    return numbered(df.orderBy(*by), name, first)

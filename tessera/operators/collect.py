@@ -68,10 +68,12 @@ def capped(df: DataFrame, size: int | None, order: str) -> DataFrame:
 
 
 def or_placeholder(texts: DataFrame) -> DataFrame:
-    """The texts, or the placeholder row where there are none; decided inside the plan, without an action."""
-    one = texts.sparkSession.range(1).select(F.lit(PLACEHOLDER).alias("text"))
+    """The texts and their order, if they have one, or the placeholder row where there are none; decided inside the plan,
+    without an action."""
+    columns = [c for c in ("ord", "text") if c in texts.columns]
+    one = texts.sparkSession.range(1).select(F.lit(0).cast("long").alias("ord"), F.lit(PLACEHOLDER).alias("text")).select(*columns)
     some = texts.select(F.lit(1).alias("_some")).limit(1)
-    return texts.select("text").unionByName(one.join(some, F.lit(True), "left_anti"))
+    return texts.select(*columns).unionByName(one.join(some, F.lit(True), "left_anti"))
 
 
 def searched(queries: DataFrame, connector, n: int = 10) -> DataFrame:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tessera.functions import order as O
 from tessera.functions import text as T
 
 VOCABULARY = 2000
@@ -77,48 +81,87 @@ def failures(predictions: DataFrame, with_similarity: bool = True) -> DataFrame:
     return f.where(bad).withColumn("reasons", F.array_compact(F.array(*named))).select(*predictions.columns, "reasons")
 
 
+#: Slots of the table in which a row looks its terms up.
+_SLOTS = 1 << 13
+
+
+def _terms(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(f"({T.TERM})"), 1)
+
+
+def _counted(text: Column) -> Column:
+    """(term, tf) of the different terms of one text: the lengths of equal runs in the sorted terms."""
+
+    def runs(words: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(words) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)))
+        ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(words)))
+        return F.zip_with(starts, ends, lambda i, j: F.struct(F.get(words, i).alias("term"), (j - i).alias("tf")))
+
+    none = F.array().cast("array<struct<term:string,tf:int>>")
+    words = F.coalesce(F.sort_array(_terms(text)), F.array().cast("array<string>"))
+    # A one-element transform binds the sorted words, so that they are made once.
+    return F.flatten(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, runs(w)).otherwise(none)))
+
+
+def vocabulary_of(docs: DataFrame, text: Column, vocabulary: int = VOCABULARY) -> list[tuple[str, int, float]]:
+    """(term, slot, inverse document frequency) of the most frequent terms, by all occurrences in all documents.
+
+    Terms are counted inside each row and pre-aggregated; at most `vocabulary` rows and one reach the driver.
+    """
+    counts = docs.select(F.explode(F.concat(_counted(text), F.array(F.struct(F.lit("").alias("term"), F.lit(0).alias("tf"))))).alias("c"))
+    totals = counts.groupBy("c.term").agg(F.sum("c.tf").alias("total"), F.count("*").alias("df"))
+    # The empty term stands in every row, once: its frequency is the number of documents.
+    chosen = totals.orderBy(F.col("term") != "", F.desc("total"), "term").limit(vocabulary + 1)
+    rows = chosen.withColumn("slot", F.pmod(F.xxhash64("term"), F.lit(_SLOTS))).collect()
+    n = next((r["df"] for r in rows if not r["term"]), 0)
+    return [(r["term"], r["slot"], math.log((1 + n) / (1 + r["df"])) + 1) for r in rows if r["term"]]
+
+
 def tfidf(docs: DataFrame, key: str, text: Column, vocabulary: int = VOCABULARY) -> DataFrame:
-    """(key, term, weight): terms of two characters or more, the most frequent `vocabulary` of the corpus, smoothed
-    inverse document frequency plus one, rows of length one.
+    """(key, term, weight), where a row is a document: terms of two characters or more, the most frequent `vocabulary` of
+    the corpus, smoothed inverse document frequency plus one, rows of length one.
 
-    Counts are pre-aggregated per (key, term) and their exchange serves both the vocabulary and the weights; the vocabulary
-    has a bounded size and is what the join broadcasts.
+    Only term totals are shuffled. A row counts its terms, looks them up in the vocabulary, whose size is bounded and which
+    is part of the plan, and takes its own length; terms leave the row last.
     """
-    words = F.regexp_extract_all(F.lower(text), F.lit(f"({T.TERM})"), 1)
-    counts = docs.select(key, F.explode(words).alias("term")).where("term is not null").groupBy(key, "term").agg(F.count("*").alias("tf"))
-    n = docs.count()
-    terms = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df")).orderBy(F.desc("total"), "term").limit(vocabulary)
-    idf = terms.select("term", (F.ln(F.lit(1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
-    raw = counts.join(F.broadcast(idf), "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key)))
-    return raw.select(key, "term", (F.col("w") / norm).alias("weight"))
+    slots: dict[int, list] = {}
+    for term, slot, idf in vocabulary_of(docs, text, vocabulary):
+        slots.setdefault(slot, []).append({"term": term, "idf": idf})
+    table = F.from_json(F.lit(json.dumps([slots.get(i, []) for i in range(_SLOTS)])), "array<array<struct<term:string,idf:double>>>")
+    found = lambda c: F.get(F.filter(F.get(table, F.pmod(F.xxhash64(c["term"]), F.lit(_SLOTS)).cast("int")), lambda e: e["term"] == c["term"]), F.lit(0))
+    weighed = F.transform(_counted(text), lambda c: F.struct(c["term"].alias("term"), (c["tf"] * found(c)["idf"]).alias("w")))
+    known = F.transform(F.array(F.filter(weighed, lambda x: x["w"].isNotNull())), lambda x: F.struct(x.alias("x"), F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, e: a + e["w"] * e["w"])).alias("norm")))
+    rows = docs.select(key, F.explode(known).alias("k")).select(key, "k.norm", F.explode("k.x").alias("x"))
+    return rows.select(key, F.col("x.term").alias("term"), (F.col("x.w") / F.col("norm")).alias("weight"))
 
 
 def cluster_count(n: int) -> int:
     return min(n, min(8, max(2, n // 10)))
 
 
-def vectors(weights: DataFrame, key: str) -> DataFrame:
-    """(key, features): each document's weights as a sparse vector over the vocabulary, whose size bounds the row."""
-    terms = sorted(r["term"] for r in weights.select("term").distinct().collect())  # at most the vocabulary
-    place = {t: i for i, t in enumerate(terms)}
-
-    @F.udf(VectorUDT())
-    def build(pairs):
-        found = sorted((place[p["term"]], p["weight"]) for p in pairs)
-        return SparseVector(len(place), [i for i, _ in found], [w for _, w in found])
-
-    return weights.groupBy(key).agg(F.collect_list(F.struct("term", "weight")).alias("p")).select(key, build("p").alias("features"))
+def vectors(docs: DataFrame, key: str, text: Column, vocabulary: int = VOCABULARY) -> DataFrame:
+    """(key, features): each document's term weights as a sparse vector of length one over the vocabulary."""
+    known = vocabulary_of(docs, text, vocabulary)
+    rows = docs.select(key, F.coalesce(_terms(text), F.array().cast("array<string>")).alias("terms"))
+    counts = CountVectorizerModel.from_vocabulary([t for t, _, _ in known] or [""], inputCol="terms", outputCol="counts")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense([w for _, _, w in known] or [1.0]), inputCol="counts", outputCol="scaled")
+    return Normalizer(p=2.0, inputCol="scaled", outputCol="features").transform(scale.transform(counts.transform(rows))).select(key, "features")
 
 
 def clustered(features: DataFrame, n: int, n_init: int = 10, seed: int = 42) -> DataFrame:
     """All columns and `cluster`: the cheapest of `n_init` k-means runs; no rows in, no rows out."""
     if n == 0:
         return features.withColumn("cluster", F.lit(None).cast("int"))
+    if n == 1:
+        return features.withColumn("cluster", F.lit(0))
     features = features.persist()
-    fits = [KMeans(k=max(2, cluster_count(n)), seed=seed + i, featuresCol="features", predictionCol="cluster").fit(features) for i in range(n_init)] if n > 1 else []
-    out = min(fits, key=lambda m: m.summary.trainingCost).transform(features) if fits else features.withColumn("cluster", F.lit(0))
-    return out
+    try:
+        fits = [KMeans(k=max(2, cluster_count(n)), seed=seed + i, featuresCol="features", predictionCol="cluster").fit(features) for i in range(n_init)]
+        best = min(fits, key=lambda m: m.summary.trainingCost)
+    finally:
+        features.unpersist()
+    return best.transform(features)
 
 
 def preview(failures: DataFrame, order: str = "id", n: int = 3, *show: str) -> DataFrame:
@@ -132,8 +175,7 @@ def preview(failures: DataFrame, order: str = "id", n: int = 3, *show: str) -> D
 
 
 def failure_clusters(failed: DataFrame, order: str = "id", n_init: int = 10, seed: int = 42) -> DataFrame:
-    """Failures (order, input, prediction, …) with a cluster each, by their weighted terms."""
-    weights = tfidf(failed, order, F.concat_ws(" ", "input", "prediction"))
-    n = failed.count()
-    groups = clustered(vectors(weights, order), n, n_init, seed)
+    """Failures (order, input, prediction, …) with a cluster each, by their weighted terms; read once, then kept."""
+    failed = O.held(failed)
+    groups = clustered(vectors(failed, order, F.concat_ws(" ", "input", "prediction")), failed.count(), n_init, seed)
     return failed.join(groups.select(order, "cluster"), order, "left").withColumn("cluster", F.coalesce("cluster", F.lit(0)))

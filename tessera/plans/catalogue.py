@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.functions import jsontext, validate
+from tessera.functions import jsontext, order, validate
 from tessera.functions import text as T
 from tessera.operators import annotate, collect, dataset, evaluate, html, metrics, sft, taxonomy
 from tessera.sources import readers
@@ -135,7 +135,10 @@ def _taxonomy(spark, sf_dir):
     place = lambda *by: (F.row_number().over(W.orderBy(*by)) - 1).cast("long")  # noqa: E731  over the few distinct names only
     cats = d.select("lang").distinct().withColumn("cat_ord", place("lang"))
     subs = d.select("lang", "source").distinct().withColumn("sub_ord", (F.row_number().over(W.partitionBy("lang").orderBy("source")) - 1).cast("long"))
-    q = d.withColumn("q_ord", (F.row_number().over(W.partitionBy("lang", "source").orderBy("doc_id")) - 1).cast("long"))
+    # A source may hold most rows, so places in it are places in the whole order less those of the sources before.
+    placed = order.ordinal(d.select("lang", "source", "doc_id"), "lang", "source", "doc_id", name="place", first=0)
+    begins = placed.groupBy("lang", "source").agg(F.min("place").alias("begin"))
+    q = placed.join(begins, ["lang", "source"]).withColumn("q_ord", F.col("place") - F.col("begin"))
     q = q.join(cats, "lang").join(subs, ["lang", "source"])
     return q.select(F.col("lang").alias("category"), "cat_ord", F.col("source").alias("subcategory"), "sub_ord", "q_ord", F.col("doc_id").cast("string").alias("query"))
 
@@ -186,17 +189,19 @@ def json_extract(spark, sf_dir):
 
 
 def _stub() -> Column:
-    """2 to 8 pairs by the text's length, answers of 30 characters from the text, sometimes without a domain."""
+    """2 to 8 pairs by the text's length, whose answers are the text's parts in order; the whole text as explanation and,
+    reversed, as reasoning; sometimes without a domain."""
     text, n = F.col("text"), (F.lit(2) + F.col("n_chars") % 7).cast("int")
-    part = lambda i: F.expr("substring(text, 1, 30)") if i is None else F.substr(text, (i * 30 + 1).cast("int"), F.lit(30))
-    qa = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.concat(F.lit("Q"), i.cast("string"), F.lit(" "), part(None)).alias("question"), part(i).alias("answer")))
-    pair = lambda s: F.struct(F.lit(s).alias("instruction"), part(None).alias("response"))
+    size = F.ceil(F.length(text) / n).cast("int")
+    qa = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.concat(F.lit("Q"), i.cast("string")).alias("question"), F.substr(text, (i - 1) * size + 1, size).alias("answer")))
+    pair = lambda s, c: F.struct(F.lit(s).alias("instruction"), c.alias("response"))
     talk = F.struct(F.lit("So?").alias("opening_question"), F.col("lang").alias("opening_response"), F.lit("Why?").alias("follow_up_question"), F.col("source").alias("follow_up_response"))
     meta = F.struct(F.col("lang").alias("language"), F.array(F.col("source")).alias("topics"), F.when(F.col("n_chars") % 11 == 0, F.lit("")).otherwise(F.col("source")).alias("domain"))
-    return F.struct(qa.alias("knowledge_qa"), pair("Explain.").alias("detailed_explanation"), pair("Reason.").alias("analytical_reasoning"), talk.alias("conversational_exchange"), meta.alias("metadata"))
+    return F.struct(qa.alias("knowledge_qa"), pair("Explain.", text).alias("detailed_explanation"), pair("Reason.", F.reverse(text)).alias("analytical_reasoning"), talk.alias("conversational_exchange"), meta.alias("metadata"))
 
 
-_FAULT = """case when not (2 + n_chars % 7 between 3 and 7) or length(text) <= 30 * (2 + n_chars % 7) then 'schema: knowledge_qa' when n_chars % 11 = 0 then 'schema: metadata.domain' end"""
+_SIZE = "((length(text) + 1 + n_chars % 7) // (2 + n_chars % 7))"
+_FAULT = f"""case when not (2 + n_chars % 7 between 3 and 7) or length(text) <= {_SIZE} * (1 + n_chars % 7) then 'schema: knowledge_qa' when n_chars % 11 = 0 then 'schema: metadata.domain' end"""
 
 
 def _annotations(spark, sf_dir):
@@ -239,10 +244,10 @@ def _flat(messages: str) -> Column:
     return F.md5(F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n"))
 
 
-@_query(f"""with d as (select *, substr(text, 1, 30) as h, 2 + n_chars % 7 as n from documents where {_FAULT} is null),
-e as (select doc_id, i - 1 as ex_ord, 2 as n_messages, 'user:Q' || i || ' ' || h || chr(10) || 'assistant:' || substr(text, 30 * i + 1, 30) as m from (select *, unnest(range(1, n + 1)) as i from d)
-union all select doc_id, n, 2, 'user:Explain.' || chr(10) || 'assistant:' || h from d
-union all select doc_id, n + 1, 2, 'user:Reason.' || chr(10) || 'assistant:' || h from d
+@_query(f"""with d as (select *, {_SIZE} as size, 2 + n_chars % 7 as n from documents where {_FAULT} is null),
+e as (select doc_id, i - 1 as ex_ord, 2 as n_messages, 'user:Q' || i || chr(10) || 'assistant:' || substr(text, size * (i - 1) + 1, size) as m from (select *, unnest(range(1, n + 1)) as i from d)
+union all select doc_id, n, 2, 'user:Explain.' || chr(10) || 'assistant:' || text from d
+union all select doc_id, n + 1, 2, 'user:Reason.' || chr(10) || 'assistant:' || reverse(text) from d
 union all select doc_id, n + 2, 4, 'user:So?' || chr(10) || 'assistant:' || lang || chr(10) || 'user:Why?' || chr(10) || 'assistant:' || source from d)
 select cast(doc_id as varchar) as id, cast(ex_ord as integer) as ex_ord, n_messages, md5(m) as messages_md5 from e""")
 def sft_text_examples(spark, sf_dir):
@@ -418,8 +423,7 @@ def tfidf_weights(spark, sf_dir):
 
 @_query()
 def failure_clusters(spark, sf_dir):
-    failed = evaluate.failures(_predictions(spark, sf_dir)).persist()  # read several times; its similarities are costly
-    return evaluate.failure_clusters(failed).select("id", "cluster")
+    return evaluate.failure_clusters(evaluate.failures(_predictions(spark, sf_dir))).select("id", "cluster")
 
 
 @_query("""with e as (select label as cluster, vec_id, row_number() over (partition by label order by vec_id) as n from embeddings)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions import order
 from tessera.operators import annotate, collect, dataset, evaluate, html, metrics, sft, taxonomy
 from tessera.plans import registry, report
 from tessera.plans.decisions import Decider, FixedDecisions
@@ -59,18 +60,19 @@ class Pipeline:
     def texts(self, queries: DataFrame) -> DataFrame:
         """(ord, text): searched, filtered and cut before anything is scraped, then unique texts."""
         cfg = self.cfg
-        place = F.row_number().over(Window.orderBy("cat_ord", "sub_ord", "q_ord"))
-        asked = self._held(collect.distinct_queries(queries.withColumn("q_ord", place)), "collect", "asked")
+        placed = order.ordinal(queries, "cat_ord", "sub_ord", "q_ord", name="place").drop("q_ord").withColumnRenamed("place", "q_ord")
+        asked = self._held(collect.distinct_queries(placed), "collect", "asked")
         hits = self._held(collect.searched(asked.withColumn("query", collect.search_query("query")), self.search, cfg.serper_results_per_query), "collect", "hits")
         best = collect.first_hits(hits, cfg.serper_top_results)
         pages = self._held(collect.scraped(best, self.scrape), "collect", "pages")
-        order = asked.select(collect.search_query("query").alias("query"), "q_ord")
-        rows = pages.join(order, "query").select((F.col("q_ord") * 1_000_000 + F.col("rank")).alias("ord"), F.col("full_text").alias("text"))
+        places = asked.select(collect.search_query("query").alias("query"), "q_ord")
+        rows = pages.join(places, "query").select((F.col("q_ord") * 1_000_000 + F.col("rank")).alias("ord"), F.col("full_text").alias("text"))
         unique = collect.capped(collect.unique_rows(rows), cfg.size, "ord")
         return self._held(collect.or_placeholder(unique.orderBy("ord")), "collect", "dataset")
 
     def examples(self, texts: DataFrame) -> tuple[DataFrame, dict]:
-        items = self._held(texts.select(F.concat(F.lit("line_"), (F.monotonically_increasing_id() + 1).cast("string")).alias("item_id"), "text"), "sft", "items")
+        lines = order.ordinal(texts, "ord", name="line_no") if "ord" in texts.columns else order.numbered(texts, "line_no")
+        items = self._held(lines.select(F.concat(F.lit("line_"), F.col("line_no").cast("string")).alias("item_id"), "text"), "sft", "items")
         cfg = self.cfg
         if cfg.sft_mode not in ("text", "image"):
             raise ValueError(f"unknown annotation mode {cfg.sft_mode!r}")
@@ -122,12 +124,12 @@ class Pipeline:
     def evaluation(self, df: DataFrame) -> dict:
         """Predictions, failures and the preview of their clusters."""
         cfg = self.cfg
-        rows = df.withColumn("ord", F.monotonically_increasing_id())
+        rows = order.numbered(df, "ord", first=0)
         if "messages" in df.columns:
             pair = dataset.input_output(F.col("messages"))
             rows = rows.select("ord", pair["prompt"].alias("prompt"), pair["reference"].alias("reference"))
         else:
-            rows = rows.select("ord", dataset.formatted(df).alias("prompt"), F.lit(None).cast(T.StringType()).alias("reference"))
+            rows = rows.select("ord", dataset.formatted(rows.drop("ord")).alias("prompt"), F.lit(None).cast(T.StringType()).alias("reference"))
         made = self._held(evaluate.predicted(rows, self.generator, cfg.eval_max_samples, cfg.eval_max_new_tokens), "eval", "predictions")
         failed = self._held(evaluate.failures(made), "eval", "failures")
         writers.jsonl(made, self.path("eval", "predictions.jsonl"))

@@ -36,7 +36,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     if not offset:
         return rows.select(F.lit(0).cast("long").alias("line_no"), "value").limit(0)
     keys = spark.createDataFrame([(f, b, o) for (f, b), o in offset.items()], "_f string, _b long, _o long")
-    return rows.join(F.broadcast(keys), ["_f", "_b"]).select((F.col("_id") + F.col("_o")).alias("line_no"), "value")
+    return rows.join(keys, ["_f", "_b"]).select((F.col("_id") + F.col("_o")).alias("line_no"), "value")
 
 
 def _small(path: str) -> bool:

@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -45,6 +47,21 @@ def test_entry_point_holds_both_parts(spark):
     assert os.path.isdir(SF)
 
 
+@pytest.mark.parametrize("blocked", ["tiktoken", "sentencepiece", "zstandard", "tessera.llm", "corpus_pipeline"])
+def test_a_missing_library_leaves_the_other_queries(blocked):
+    code = f"import sys; sys.modules[{blocked!r}] = None; import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries())"
+    said = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), capture_output=True, text=True, check=True)
+    n, pipeline = said.stdout.split()
+    assert int(n) >= len(catalogue.queries()) and (blocked != "corpus_pipeline" or pipeline == "False")
+
+
+def test_term_weights_and_places_have_no_hot_exchange(spark):
+    plan = catalogue.queries()["tfidf_weights"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Window" not in plan
+    plan = catalogue.queries()["taxonomy_flatten"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "doc_id" not in "".join(x for x in plan.splitlines() if "Window" in x)
+
+
 def test_scans_read_only_needed_columns(spark):
     plan = catalogue.queries()["text_dedup"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan

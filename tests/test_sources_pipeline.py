@@ -157,3 +157,22 @@ def test_streamed_metrics(spark, tmp_path):
         stream.start(spark, str(folder), str(tmp_path / "cp"), "folded").awaitTermination(60)
         got = spark.table("folded").first()
     assert (got.steps, got.best_eval_loss, got.last_train_loss, got.last_eval_loss) == (40, 2.7, 1.6, 2.7)
+
+
+def test_ids_over_several_partitions(spark, tmp_path):
+    run = Pipeline(spark, settings(tmp_path))
+    texts = spark.createDataFrame([(10 * i, f"text {i}") for i in range(40)], "ord long, text string").repartition(5)
+    run.examples(texts)
+    items = spark.read.parquet(str(tmp_path / "run" / "sft" / "items")).collect()
+    assert {r.item_id: r.text for r in items} == {f"line_{i + 1}": f"text {i}" for i in range(40)}
+    run.examples(texts.drop("ord"))
+    assert {r.item_id for r in spark.read.parquet(str(tmp_path / "run" / "sft" / "items")).collect()} == {f"line_{i + 1}" for i in range(40)}
+    run.evaluation(texts.drop("ord"))
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "run" / "eval" / "predictions")).collect()) == list(range(40))
+
+
+def test_annotation_mode_guard(spark, tmp_path):
+    texts = spark.createDataFrame([(0, "a")], "ord long, text string")
+    for mode, said in (("image", "examples_of_images"), ("sound", "unknown")):
+        with pytest.raises(ValueError, match=said):
+            Pipeline(spark, settings(tmp_path, sft_mode=mode)).examples(texts)
