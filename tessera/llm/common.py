@@ -14,21 +14,28 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import io
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text bytes that one vectorised step works on at once; a longer single text is a step of its own.
 SLICE_BYTES = 2 << 20
+#: Text bytes and rows of a block file, which a task holds at once.
+BLOCK_BYTES = 8 << 20
+BLOCK_ROWS = 1 << 16
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Lower-cases A-Z and turns every ASCII character that is no letter or digit into a space.
@@ -42,9 +49,38 @@ def _own_dir() -> str:
     return found
 
 
+#: Hadoop's schemes of stores that Arrow opens under another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+_OPENED = ("file", "hdfs", "viewfs", "s3", "gs", "abfs", "abfss")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the shared folder; a temporary one only where the session names none (single-machine tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    """Whole URI of the shared folder, with scheme and host as Hadoop completes them.
+
+    It is the folder in `spark.checkpoint.dir`, else that of the context's `setCheckpointDir`. Only a session on a single
+    machine that names neither gets a temporary one; on a cluster that is an error.
+    """
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = _own_dir()
+    path = jvm.org.apache.hadoop.fs.Path(named)
+    with contextlib.suppress(Exception):  # a scheme that this Hadoop lacks is judged by `located`
+        path = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path)
+    whole = str(path.toString()).rstrip("/")
+    located_uri(whole)
+    return whole
+
+
+def located_uri(uri: str) -> str:
+    """The URI as Arrow opens it; an error for a store that it cannot open, rather than a local folder of that name."""
+    scheme, _, rest = uri.partition(":")
+    scheme = SCHEMES.get(scheme, scheme)
+    if not rest or scheme not in _OPENED:
+        raise ValueError(f"tasks cannot open files under {uri}; name a folder under one of {', '.join(_OPENED)} or {', '.join(SCHEMES)}")
+    return f"{scheme}:{rest if rest.startswith('//') else '//' + rest}"
 
 
 _MADE: list[str] = []
@@ -73,7 +109,7 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def located(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(located_uri(uri))
 
 
 def put(uri: str, data) -> None:
@@ -90,6 +126,65 @@ def get(uri: str) -> pa.Buffer:
         return f.read_buffer()
 
 
+def put_table(uri: str, rows: pa.Table) -> None:
+    out = io.BytesIO()
+    pq.write_table(rows, out, compression="zstd", use_dictionary=False)
+    put(uri, out.getbuffer())
+
+
+def get_table(uri: str) -> pa.Table:
+    return pq.read_table(pa.BufferReader(get(uri)))
+
+
+def block_tables(batches: Iterable[pa.RecordBatch], text_col: str, limit: int | None = None) -> Iterator[pa.Table]:
+    """The same rows in tables of about `limit` text bytes, and BLOCK_ROWS rows at most."""
+    held, size, rows = [], 0, 0
+    for s in slices(batches, text_col):
+        for lo in range(0, s.num_rows, BLOCK_ROWS):
+            b = s.slice(lo, BLOCK_ROWS)
+            if held and rows + b.num_rows > BLOCK_ROWS:
+                yield pa.Table.from_batches(held)
+                held, size, rows = [], 0, 0
+            held.append(b)
+            size, rows = size + int(sizes_of(texts_of(b, text_col)).sum()), rows + b.num_rows
+            if size >= (limit or BLOCK_BYTES):
+                yield pa.Table.from_batches(held)
+                held, size, rows = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def in_blocks(spark: SparkSession, docs: DataFrame, folder: str, text_col: str, id_col: str, names: list[str], longs: Callable) -> DataFrame:
+    """Write the rows to block files; (block, at, id, and the long columns that `longs` makes of a batch) of every row."""
+    out = pa.schema([("block", pa.string()), ("at", pa.int32()), ("id", pa.int64()), *((n, pa.int64()) for n in names)])
+
+    def run(batches):
+        for rows in block_tables(batches, text_col):
+            block, at = uuid.uuid4().hex, 0
+            put_table(f"{folder}/{block}.parquet", rows)
+            for b in slices(rows.to_batches(), text_col):
+                ids = b.column(b.schema.get_field_index(id_col)).cast(pa.int64())
+                yield record_batch(out, [[block] * b.num_rows, np.arange(at, at + b.num_rows, dtype=np.int32), ids, *longs(b)])
+                at += b.num_rows
+
+    return stored(spark, docs.mapInArrow(run, ", ".join(["block string, at int, id long", *(f"{n} long" for n in names)])), "rows")
+
+
+def from_blocks(rows: DataFrame, keep: DataFrame, folder: str, schema: T.StructType) -> DataFrame:
+    """The rows of block files at the places (block, at) of `keep`; `rows` are all places. Only places are shuffled."""
+    blocks = max(1, rows.select("block").distinct().count())
+    names = schema.names
+
+    def run(batches):
+        for b in batches:
+            for block, at in zip(b.column(0).to_pylist(), b.column(1)):
+                kept = get_table(f"{folder}/{block}.parquet").take(pa.array(np.sort(at.values.to_numpy())))
+                yield from kept.select(names).combine_chunks().to_batches()
+
+    places = keep.groupBy("block").agg(F.collect_list("at").alias("at"))
+    return places.repartition(min(20_000, 3 * blocks), "block").mapInArrow(run, schema)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
     a = batch.column(batch.schema.get_field_index(column))
     if not pa.types.is_string(a.type):

@@ -3,10 +3,11 @@
 import re
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tessera.llm import common, queries
+from tessera.llm import common, queries, simhash
 from tests.llm import test_decontam, test_quality, test_simhash, test_tokens
 from tests.llm.conftest import SF
 
@@ -59,12 +60,14 @@ def test_stages_match_brute_force(spark):
     assert all(texts[d] == t for d, t in kept.items()) and len(kept) > 0.8 * len(before)
 
     before, _ = held["simhash_near_dedup"]
-    prints = {d: test_simhash.plain_fingerprint(t) for d, t in before}
-    root = test_simhash.plain_components(sorted(set(prints.values())), lambda a, b: (a ^ b).bit_count() <= 3)
+    words = simhash.wide_fingerprints(pa.array([t or "" for _, t in before]))
+    prints = {d: sum(int(w) << 64 * i for i, w in enumerate(row)) for (d, _), row in zip(before, words)}
+    root = test_simhash.plain_components(sorted(set(prints.values())), lambda a, b: (a ^ b).bit_count() <= simhash.COPIES.distance)
     first = {}
     for d, _ in sorted(before):
         first.setdefault(root[prints[d]], d)
-    assert set(got("simhash_near_dedup")) == set(first.values())
+    kept = got("simhash_near_dedup")
+    assert set(kept) == set(first.values()) and all(dict(before)[d] == t for d, t in kept.items())
 
     before, after = held["substring_dedup"]
     assert got("substring_dedup") == without_repeats(before)
