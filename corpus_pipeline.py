@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import common, decontam, nearcopies, packing, quality, substrings
+from tessera.llm import common, decontam, packing, quality, simhash, substrings
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +18,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts with five-word similarity 0.8 or more: that with the smallest doc_id."""
-    return nearcopies.one_of_each(spark, docs)
+    """One document of each component of near copies, that with the smallest doc_id.
+
+    Near are texts whose fingerprints tell a similarity of some 0.8 or more between their sets of five-word shingles.
+    """
+    return simhash.one_of_each(spark, docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
