@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 
 from tessera.llm import licenses
 
@@ -16,10 +17,14 @@ def plain(rows):
         w = words_of(t)
         places = [(i, label) for p, label in licenses.PHRASES for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
         own, part = set(), 0.0
-        for line in (t or "").split("\n"):
-            have = set(words_of(line))
+        lines = [x for x in map(words_of, (t or "").split("\n")) if x]
+        for i in range(len(lines)):
             for label, text in licenses.TEMPLATES:
-                want = set(words_of(text))
+                want, have, n = set(words_of(text)), set(), 0
+                for line in lines[i:]:
+                    have, n = have | set(line), n + len(line)
+                    if n >= len(words_of(text)):
+                        break
                 if 1000 * len(have & want) >= 800 * len(want):
                     own.add(label)
                     part = max(part, len(have & want) / len(want))
@@ -54,3 +59,22 @@ def test_rows_match_brute_force(spark, docs, empty):
 def test_no_python_on_the_main_path(spark, docs):
     plan = licenses.scan(spark, docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_wrapped_notices_get_their_labels(spark):
+    """Every template in one line, wrapped at 76 columns and at ten words a line, commented, and with blank lines."""
+    rows = []
+    for label, t in licenses.TEMPLATES:
+        w = t.split()
+        tens = [" ".join(w[i : i + 10]) for i in range(0, len(w), 10)]
+        for body in (t, textwrap.fill(t, 76), "\n".join(tens), "\n".join("# " + x for x in tens), "\n\n".join(tens)):
+            rows.append((len(rows), "Some words before.\n" + body + "\nAnd some after.", label))
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in licenses.scan(spark, df, phrases=()).collect()}
+    assert all(label in got[d].labels.split(",") and got[d].score == 1.0 for d, _, label in rows)
+    assert result(licenses.scan(spark, df)) == plain([r[:2] for r in rows])
+    # The words of a notice that are spread over a long text are no notice.
+    rng = random.Random(2)
+    w = sorted({x for _, t in licenses.TEMPLATES for x in words_of(t)})
+    spread = "\n".join(" ".join([x] + rng.choices(["stone", "tree", "lamp"], k=12)) for x in rng.sample(w, len(w)))
+    assert [r.labels for r in licenses.scan(spark, spark.createDataFrame([(1, spread)], "doc_id long, text string"), phrases=()).collect()] == [""]
