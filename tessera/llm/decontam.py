@@ -1,14 +1,17 @@
 """Benchmark decontamination by winnowing.
 
 Of every nine consecutive 5-gram hashes the least is a fingerprint, so any span of 13 words that a document shares with
-a benchmark item has a fingerprint at the same place in both. Document fingerprints that miss a fixed-size bitmap of the
-benchmark's are dropped at once (a bitmap has false hits only); the others are joined on their hash, and each meeting is
-extended word by word in both directions to tell how long the shared span really is. Items under 13 words are one
-window of their own length, found by that length's hashes in the same way.
+a benchmark item has a fingerprint at the same place in both. Document fingerprints that miss a bitmap of the benchmark's
+are dropped at once (a bitmap has false hits only); the others are joined on their hash, and each meeting is extended word
+by word in both directions to tell how long the shared span really is. Items whose words around a fingerprint are the same
+meet documents as one; the documents of a hot fingerprint are dealt out over as many copies of it as their number asks
+for. Items under 13 words are one window of their own length, found by that length's hashes in the same way.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tessera.llm.common import ALNUM, hashes_of, record_batch, rolling, slices, starts_of, stored, texts_of, words_of
+from tessera.llm.common import ALNUM, from_blocks, hashes_of, in_blocks, record_batch, rolling, scratch, slices, starts_of, stored, texts_of, words_of
 
 SPAN = 13
 GRAM = 5
-#: Fingerprint bitmap sent to executors: 2 MB whatever the size of the benchmark.
-BITMAP_BITS = 24
-#: Copies of each benchmark fingerprint that share the documents of a hot one.
-SALT = 16
+#: Bits of the bitmap sent to executors, as a power of two: sixteen a fingerprint of the benchmark; 2 MB at least, 32 at most.
+LEAST_BITS, MOST_BITS = 24, 28
+#: Places in documents of one fingerprint that a copy of it meets.
+HOT = 1 << 16
+#: Contaminated rows up to which their keys are broadcast, 16 bytes each; beyond, keys are shuffled.
+BROADCAST_ROWS = 1 << 20
 
 _HITS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()), ("kind", pa.int32()), ("h", pa.int64()), ("at", pa.int64()), ("lead", pa.int32()), ("words", pa.string())])
 HIT_SCHEMA = "doc_id long, text_key long, n_words long, kind int, h long, at long, lead int, words string"
@@ -63,7 +68,7 @@ def grams_of(word_hashes: np.ndarray, offsets: np.ndarray, kind: int) -> tuple[n
         return h ^ (np.uint64(kind) * np.uint64(0x9E3779B97F4A7C15)), at
 
 
-def _found(batch: pa.RecordBatch, kinds, bitmap: np.ndarray | None, whole: bool) -> pa.RecordBatch:
+def _found(batch: pa.RecordBatch, kinds, bitmap: np.ndarray | None, bits: int, whole: bool) -> pa.RecordBatch:
     """Rows of grams that the bitmap knows, with the words around them; `whole`: one row more per text, of no kind."""
     ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
     codes, words, offsets = words_of(texts_of(batch, "text"), ALNUM)
@@ -75,7 +80,7 @@ def _found(batch: pa.RecordBatch, kinds, bitmap: np.ndarray | None, whole: bool)
         h, at = grams_of(hashes, offsets, kind)
         owner = np.searchsorted(offsets, at, side="right") - 1
         if bitmap is not None:
-            bit = h >> np.uint64(64 - BITMAP_BITS)
+            bit = h >> np.uint64(64 - bits)
             known = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
         else:
             known = (n[owner] >= SPAN) == (kind == SPAN)
@@ -107,38 +112,46 @@ def _keyed(table: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return table.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
 
 
-def _bitmap(prints: DataFrame) -> np.ndarray:
+def _bitmap(prints: DataFrame, bits: int) -> np.ndarray:
     """Bits of all benchmark fingerprints; what reaches the driver is at most the bitmap itself."""
-    bit = F.shiftrightunsigned("h", 64 - BITMAP_BITS)
-    words = prints.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - BITMAP_BITS}) & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    bit = F.shiftrightunsigned("h", 64 - bits)
+    words = prints.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    out = np.zeros(1 << max(0, bits - 6), np.int64)
     for r in words.toLocalIterator():
         out[r.w] = r.b
     return out.view(np.uint64)
 
 
-def spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(every document row with n_words; the hit spans (doc_id, text_key, item_id, start, stop) in words)."""
+def spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", bits: int | None = None, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """(every document row with n_words; the hit spans (doc_id, text_key, item_ids, start, stop) in words).
+
+    `bits` and `hot` set the cost and never the result.
+    """
 
     def of_items(batches):
         for b in slices(batches, "text"):
-            yield _found(b, range(1, SPAN + 1), None, False)
+            yield _found(b, range(1, SPAN + 1), None, 0, False)
 
     prints = stored(spark, _keyed(benchmark, item_col, item_text_col).mapInArrow(of_items, HIT_SCHEMA), "benchmark")
     kinds = sorted(r.kind for r in prints.select("kind").distinct().collect())  # at most SPAN values
-    bitmap = _bitmap(prints)
+    bits = bits or min(MOST_BITS, max(LEAST_BITS, (16 * prints.count()).bit_length()))
+    bitmap = _bitmap(prints, bits)
 
     def of_docs(batches):
         for b in slices(batches, "text"):
-            yield _found(b, kinds, bitmap, True)
+            yield _found(b, kinds, bitmap, bits, True)
 
     found = stored(spark, _keyed(docs, id_col, text_col).mapInArrow(of_docs, HIT_SCHEMA), "fingerprints")
     rows = found.where("kind is null").select("doc_id", "text_key", "n_words")
-    salted = F.pmod(F.xxhash64("doc_id", "text_key", "at"), F.lit(SALT)).alias("salt")
-    items = prints.select("kind", "h", F.col("doc_id").alias("item_id"), F.col("lead").alias("item_lead"), F.col("words").alias("item_words"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("salt"))
-    met = found.where("kind is not null").select("*", salted).join(items.hint("shuffle_hash"), ["kind", "h", "salt"])
-    met = met.select("doc_id", "text_key", "kind", "at", "lead", "words", "item_id", "item_lead", "item_words")
-    out = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
+    places = found.where("kind is not null")
+    salts = stored(spark, places.groupBy("kind", "h").count().where(F.col("count") > hot).select("kind", "h", F.ceil(F.col("count") / F.lit(hot)).alias("salts")), "salts")
+    salted = F.pmod(F.xxhash64("doc_id", "text_key", "at"), F.coalesce("salts", F.lit(1))).alias("salt")
+    places = places.join(salts, ["kind", "h"], "left").select("doc_id", "text_key", "kind", "h", "at", "lead", "words", salted)
+    items = prints.groupBy("kind", "h", F.col("lead").alias("item_lead"), F.col("words").alias("item_words")).agg(F.sort_array(F.collect_set("doc_id")).alias("item_ids"))
+    items = items.join(salts, ["kind", "h"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    met = places.join(items.hint("shuffle_hash"), ["kind", "h", "salt"])
+    met = met.select("doc_id", "text_key", "kind", "at", "lead", "words", "item_ids", "item_lead", "item_words")
+    out = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("start", pa.int64()), ("stop", pa.int64())])
 
     def extended(batches):
         for b in batches:
@@ -150,7 +163,7 @@ def spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: st
                     rows.append((doc, key, item, at - left, at + right))
             yield record_batch(out, [list(c) for c in zip(*rows)] if rows else [[] for _ in out])
 
-    return rows, met.mapInArrow(extended, "doc_id long, text_key long, item_id long, start long, stop long")
+    return rows, met.mapInArrow(extended, "doc_id long, text_key long, item_ids array<long>, start long, stop long")
 
 
 def hits(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **cols) -> DataFrame:
@@ -164,9 +177,9 @@ def hits(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **cols) ->
     rows, found = spans(spark, docs, benchmark, **cols)
     found = found.distinct()
     key = ["doc_id", "text_key"]
-    before = F.max("stop").over(W.partitionBy(*key).orderBy("start", "stop", "item_id").rowsBetween(W.unboundedPreceding, -1))
+    before = F.max("stop").over(W.partitionBy(*key).orderBy("start", "stop", "item_ids").rowsBetween(W.unboundedPreceding, -1))
     fresh = F.greatest(F.lit(0), F.col("stop") - F.greatest(F.col("start"), F.coalesce(before, F.lit(0))))
-    each = found.select(*key, "item_id", fresh.alias("fresh")).groupBy(*key).agg(F.sum("fresh").alias("n_hit"), F.collect_set(F.col("item_id").cast("string")).alias("items"))
+    each = found.select(*key, "item_ids", fresh.alias("fresh")).groupBy(*key).agg(F.sum("fresh").alias("n_hit"), F.array_distinct(F.flatten(F.collect_set("item_ids"))).cast("array<string>").alias("items"))
     each = each.select(F.col("doc_id").alias("hit_doc"), F.col("text_key").alias("hit_key"), "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"))
     joined = rows.join(each, rows.doc_id.eqNullSafe(each.hit_doc) & (rows.text_key == each.hit_key), "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
@@ -177,8 +190,15 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, i
     """The rows that are not contaminated, with all their columns.
 
     Rows without words stay; rows equal in id and text stay or go together, whatever their other columns; ids may be null;
-    an empty benchmark keeps every row, an empty table gives none.
+    an empty benchmark keeps every row, an empty table gives none. Where the contaminated rows are too many to broadcast
+    their keys, these meet the rows' keys in an exchange; texts are never shuffled.
     """
     bad = stored(spark, hits(spark, docs, benchmark, id_col=id_col, text_col=text_col, **cols).where("contaminated").select(F.col("doc_id").alias("bad_doc"), F.col("text_key").alias("bad_key")).distinct(), "contaminated")
-    same = docs[id_col].cast(T.LongType()).eqNullSafe(bad.bad_doc) & (F.xxhash64(docs[text_col]) == bad.bad_key)
-    return docs.join(bad, same, "left_anti")
+    if bad.count() <= BROADCAST_ROWS:
+        same = docs[id_col].cast(T.LongType()).eqNullSafe(bad.bad_doc) & (F.xxhash64(docs[text_col]) == bad.bad_key)
+        return docs.join(F.broadcast(bad), same, "left_anti")
+    folder = scratch(spark, "clean")
+    keys = docs.select("*", F.xxhash64(text_col).alias(key := f"key_{uuid.uuid4().hex}"))
+    rows = in_blocks(spark, keys, folder, text_col, id_col, ["text_key"], lambda b: [b.column(b.schema.get_field_index(key))])
+    keep = rows.join(bad, rows.id.eqNullSafe(bad.bad_doc) & (rows.text_key == bad.bad_key), "left_anti")
+    return from_blocks(rows, keep, folder, docs.schema)

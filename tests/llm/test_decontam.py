@@ -57,3 +57,24 @@ def test_repeated_words_and_item_repeats(spark):
     items = [(1, "a " * 13), (1, "a b " * 7), (2, "a " * 30)]
     got = decontam.hits(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert result(got) == plain(docs, items)
+
+
+def test_hot_fingerprints_and_narrow_bitmaps_change_nothing(spark, empty, monkeypatch):
+    """A phrase in every document and every item, under bitmaps full of false hits and many or no copies."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    phrase = " ".join(rng.choices(words, k=18))
+    own = lambda n: " ".join(rng.choices(words, k=n))
+    items = [(i, f"{own(i % 4)} {phrase} {own(20)}") for i in range(12)]
+    docs = [(i, f"{own(30)} {phrase} {own(rng.choice([5, 300, 900]))} {items[i % 12][1] if i % 5 == 0 else ''}") for i in range(60)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")
+    want = plain(docs, items)
+    assert all(r[3] == 12 for r in want) and 0 < sum(r[5] for r in want) < 60
+    for bits, hot in ((4, 1), (24, 64), (4, 1 << 20)):
+        assert result(decontam.hits(spark, d, b, bits=bits, hot=hot)) == want
+    clean = sorted(r[0] for r in want if not r[5])
+    for limit in (decontam.BROADCAST_ROWS, -1):
+        monkeypatch.setattr(decontam, "BROADCAST_ROWS", limit)
+        kept = decontam.uncontaminated(spark, d, b)
+        assert kept.columns == d.columns and sorted(str(r.doc_id) for r in kept.collect()) == clean
+        assert decontam.uncontaminated(spark, empty, b).count() == 0
