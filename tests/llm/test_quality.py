@@ -1,7 +1,13 @@
+import base64
+import math
 import random
 import re
+from collections import Counter
 
+import public_tokenizers
 import pyarrow as pa
+import sentencepiece
+import tiktoken
 
 from tessera.llm import quality
 
@@ -99,3 +105,37 @@ def test_script_of_a_text():
     names = {"han": "cjk", "kana": "cjk"}
     assert {k: quality.script(t) for k, t in PROSE.items()} == {k: names.get(k, k) for k in PROSE}
     assert [quality.script(t) for t in ("", "12 %", "Города 2024 abc", "ગુજરાતી", "\U00013000\U00013001")] == ["latin", "latin", "cyrillic", "*", "*"]
+
+
+def plain_measures(text, lang):
+    """The measures and the verdict of one whole text, word by word, from the vocabularies' own libraries."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
+    encoding = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+    def measures(words):
+        tokens = [t for w in words for t in encoding.encode_ordinary(" " + w)]
+        pieces = [p for w in words for p in model.encode(w)]
+        share = sum(map(model.is_byte, pieces)) / max(1, len(pieces))
+        entropy = -sum(n / len(tokens) * math.log2(n / len(tokens)) for n in Counter(tokens).values())
+        return sum(map(len, words)) / max(1, len(tokens)), share, entropy, len(tokens)
+
+    chars, share, entropy, n = measures(words)
+    least, most, byte_share, part, bits = quality.BANDS[lang if lang in quality.BANDS else quality.script(text or "")]
+    floor = bits if n >= 500 else part * math.log2(min(500, max(2, n)))
+    c = plain(text)
+    failed = c[0] < 20 or 100 * c[4] > 30 * c[0]
+    return chars, share, entropy, not failed and least <= chars <= most and share <= byte_share and entropy >= floor
+
+
+def test_measures_and_verdicts_match_brute_force(spark):
+    rng = random.Random(5)
+    some = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").orderBy("doc_id").limit(8).collect()
+    rows = [(r.doc_id, (r.text or "")[:3000], r.lang) for r in some]
+    rows += [(5000, " ".join(f"{rng.getrandbits(64):x}" for _ in range(40)), "en"), (5001, "\u5929\u6c17 " * 9 + "\U0001f600 " * 20, None), (5002, " ".join(rng.choices(["the", "mill", "of", "river"], k=700)), "xx"), (5003, None, "en"), (5004, "\U00013000\U00013001 " * 30, "de")]
+    got = {r.doc_id: r for r in quality.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()}
+    for d, t, lang in rows:
+        *want, kept = plain_measures(t, lang)
+        assert all(abs(got[d][m] - w) < 1e-9 for m, w in zip(quality.MEASURES, want)) and got[d].kept == kept
+    assert len({r.kept for r in got.values()}) == 2

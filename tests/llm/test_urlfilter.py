@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -34,6 +35,29 @@ def test_rows_match_brute_force(spark):
     assert urlfilter.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def plain_score(host, path, weights, bias):
+    """Probability of block, one character n-gram after the other."""
+    buckets = []
+    for side, part in ((1, b"^" + host.encode() + b"$"), (2, b"^" + path.encode() + b"$")):
+        for n in urlfilter.NGRAMS:
+            for i in range(len(part) - n + 1):
+                h = side * 31 + n
+                for c in part[i : i + n]:
+                    h = (h * 0x100000001B3 + c) % (1 << 64)
+                for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+                    h = (h ^ h >> 33) * m % (1 << 64)
+                buckets.append((h ^ h >> 33) % urlfilter.DIMENSIONS)
+    total = sum(float(weights[b]) for b in buckets)
+    return 1 / (1 + math.exp(-(total / math.sqrt(max(1, len(buckets))) + bias)))
+
+
+def test_scores_match_brute_force():
+    w, b = urlfilter.train(urlfilter.labelled_urls())
+    parts = [urlfilter.split_url(u) for u in URLS]
+    got = urlfilter.scores(*zip(*parts), w, b)
+    assert all(abs(s - plain_score(h, p, w, b)) < 1e-6 for s, (h, p) in zip(got, parts))
+
+
 def test_held_out_accuracy():
     data = urlfilter.labelled_urls()
     hosts = sorted({urlfilter.split_url(u)[0] for u, _ in data})
