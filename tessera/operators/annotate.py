@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -38,8 +39,8 @@ def image_prompt(hint: Column | str, language: str) -> Column:
 def annotated(items: DataFrame, annotator, system: str | None = None, check=None, batch_size: int = 5, delay: float = 0.0, attempts: int = 3, retry_delay: float = 2.0) -> DataFrame:
     """(id, success, data, error) for each row of (item_id, message[, images]).
 
-    Requests go out in batches of `batch_size` with a pause between them; one that still fails after its attempts is a
-    failed row and touches no other. `check` validates the payload. Plain filters are not pushed through this step, so
+    A task keeps `batch_size` requests in flight and pauses for `delay` seconds between such batches; a request that still
+    fails after its attempts is a failed row and touches no other. `check` validates the payload. Plain filters are not pushed through this step, so
     filter before it; and write its result before using it twice, or the annotator is asked twice.
     """
     pictures = "images" in items.columns
@@ -58,14 +59,17 @@ def annotated(items: DataFrame, annotator, system: str | None = None, check=None
         return ident, True, json.dumps(data, ensure_ascii=False), None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            images = b["images"] if pictures else [None] * len(b)
-            rows = []
-            for i, (ident, message, files) in enumerate(zip(b["item_id"], b["message"], images)):
-                if i and i % batch_size == 0 and delay:
-                    time.sleep(delay)
-                rows.append(one(ident, message, files))
-            yield pd.DataFrame(rows, columns=["id", "success", "data", "error"])
+        asked, size = False, max(1, batch_size)
+        with ThreadPoolExecutor(size) as pool:
+            for b in batches:
+                todo = list(zip(b["item_id"], b["message"], b["images"] if pictures else [None] * len(b)))
+                rows: list[tuple] = []
+                for i in range(0, len(todo), size):
+                    if asked and delay:
+                        time.sleep(delay)
+                    asked = True
+                    rows += pool.map(lambda r: one(*r), todo[i : i + size])
+                yield pd.DataFrame(rows, columns=["id", "success", "data", "error"])
 
     return items.select("item_id", "message", *(["images"] if pictures else [])).mapInPandas(run, SCHEMA)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tessera.functions import text as T
+from tessera.operators.html import picture_size
+from tessera.sources.writers import write_once
 
 # Domains that searches leave out.
 EXCLUDED_DOMAINS = (
@@ -76,34 +79,38 @@ def or_placeholder(texts: DataFrame) -> DataFrame:
     return texts.select(*columns).unionByName(one.join(some, F.lit(True), "left_anti"))
 
 
-def searched(queries: DataFrame, connector, n: int = 10) -> DataFrame:
-    """(query, rank, link, snippet) from a search connector; a failing search gives no rows."""
+def together(call: Callable, values: Iterable, n: int) -> list:
+    """The results of `call`, in order, up to `n` of them under way at once; None where it raises."""
+
+    def one(value):
+        try:
+            return call(value)
+        except Exception:
+            return None
+
+    with ThreadPoolExecutor(max(1, n)) as pool:
+        return list(pool.map(one, values))
+
+
+def searched(queries: DataFrame, connector, n: int = 10, concurrency: int = 1) -> DataFrame:
+    """(query, rank, link, snippet) from a search connector, asked `concurrency` times at once by a task; a failing search
+    gives no rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for q in b["query"]:
-                try:
-                    found = connector.search(q, n)
-                except Exception:
-                    found = []
-                rows += [(q, i, h.get("link"), h.get("snippet")) for i, h in enumerate(found)]
+            found = together(lambda q: connector.search(q, n), b["query"], concurrency)
+            rows = [(q, i, h.get("link"), h.get("snippet")) for q, hits in zip(b["query"], found) for i, h in enumerate(hits or [])]
             yield pd.DataFrame(rows, columns=["query", "rank", "link", "snippet"])
 
     return queries.select("query").mapInPandas(run, "query string, rank long, link string, snippet string")
 
 
-def scraped(hits: DataFrame, connector) -> DataFrame:
+def scraped(hits: DataFrame, connector, concurrency: int = 1) -> DataFrame:
     """(query, rank, url, snippet, full_text) of the pages whose text could be read and is not blank."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = []
-            for link in b["link"]:
-                try:
-                    texts.append((connector.scrape(link) or "").strip())
-                except Exception:
-                    texts.append("")
+            texts = [(t or "").strip() for t in together(connector.scrape, b["link"], concurrency)]
             out = pd.DataFrame({"query": b["query"], "rank": b["rank"], "url": b["link"], "snippet": b["snippet"], "full_text": texts})
             yield out[out["full_text"] != ""]
 
@@ -115,19 +122,32 @@ def image_urls(pages: DataFrame) -> DataFrame:
     return pages.where(F.coalesce("url", F.lit("")) != "").select("query", "rank", "url")
 
 
-def fetched(addresses: DataFrame, connector) -> DataFrame:
+def fetched(addresses: DataFrame, connector, concurrency: int = 1) -> DataFrame:
     """(page_id, url, html) of the addresses (page_id, url) that answer with status 200; others give no rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for page, url in zip(b["page_id"], b["url"]):
-                try:
-                    status, html = connector.fetch(url)
-                except Exception:
-                    continue
-                if status == 200:
-                    rows.append((page, url, html))
+            got = together(connector.fetch, b["url"], concurrency)
+            rows = [(page, url, g[1]) for page, url, g in zip(b["page_id"], b["url"], got) if g is not None and g[0] == 200]
             yield pd.DataFrame(rows, columns=["page_id", "url", "html"])
 
     return addresses.select("page_id", "url").mapInPandas(run, "page_id long, url string, html string")
+
+
+def pictures(addresses: DataFrame, connector, folder: str, min_width: int = 300, min_height: int = 300, concurrency: int = 1) -> DataFrame:
+    """(name, path, width, height) of the pictures at (name, url) that answer with status 200, decode and are large enough,
+    written below a folder that all executors share; contents stay in the task, `concurrency` of them at a time."""
+    step = max(1, concurrency)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for i in range(0, len(b), step):
+                part = b.iloc[i : i + step]
+                for name, got in zip(part["name"], together(connector.fetch, part["url"], concurrency)):
+                    size = picture_size(got[1]) if got is not None and got[0] == 200 else None
+                    if size and size[0] >= min_width and size[1] >= min_height:
+                        rows.append((name, write_once(folder, name, got[1]), *size))
+            yield pd.DataFrame(rows, columns=["name", "path", "width", "height"])
+
+    return addresses.select("name", "url").mapInPandas(run, "name string, path string, width int, height int")

@@ -119,7 +119,20 @@ def image_filename(spark, sf_dir):
     return rows.withColumn("file_name", html.file_name("img_url"))
 
 
-@_query()
+# Text nodes and images in their order (a control character stands for an image), then windows around each image's marker.
+_NODES = f"""with p as (select page_id, url, replace(regexp_replace(regexp_replace(html, '<(script|style|template)[^>]*>.*?</(script|style|template)>', '<x>', 'gs'), '<!--.*?-->', '<x>', 'gs'), '<p>', '<x>' || chr(2) || '<x>') as h from pages),
+e as (select page_id, url, unnest(string_split_regex(h, '<[^>]*>')) as x, generate_subscripts(string_split_regex(h, '<[^>]*>'), 1) as i from p),
+d as (select page_id, url, i, {T.ws_sql("replace(replace(replace(replace(x, '&quot;', chr(34)), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&')")} as x from e),
+n as (select *, case when x = chr(2) then row_number() over (partition by page_id, x = chr(2) order by i) - 1 end as k from d where x <> ''),
+t as (select page_id, any_value(url) as url, string_agg(case when k is null then x else '__IMG_MARKER_' || k || '__' end, ' ' order by i) as t, max(k) as last from n group by page_id having max(k) is not null),
+a as (select *, regexp_replace(url, '[?#].*$', '') as u from t), b as (select *, regexp_extract(u, '^[a-z]+://[^/]*') as o from a),
+c as (select *, regexp_replace(substr(u, length(o) + 1), '[^/]*$', '') as dir from b),
+m as (select page_id, t, o || case when dir in ('', '/') then '/' else regexp_replace(dir, '[^/]*/$', '') end || 'i/' || page_id || '.jpg' as img_url, unnest(range(last + 1)) as k from c),
+w as (select *, '__IMG_MARKER_' || k || '__' as mark, strpos(t, '__IMG_MARKER_' || k || '__') as pos from m)
+select page_id, cast(k as integer) as img_ord, img_url, md5(substr(t, greatest(1, pos - 500), least(500, pos - 1))) as before_md5, md5(substr(t, pos + length(mark), 500)) as after_md5 from w"""
+
+
+@_query(_NODES)
 def html_text_context(spark, sf_dir):
     """An image put before the text of every paragraph; addresses resolved against the page."""
     put = F.replace(F.col("html"), F.lit("<p>"), F.concat(F.lit('<p><img src="../i/'), F.col("page_id").cast("string"), F.lit('.jpg" width="640" height="480">')))
@@ -331,7 +344,9 @@ def head_limit(spark, sf_dir):
     return dataset.head(_docs(spark, sf_dir).select("doc_id", "source"), CAP, "doc_id")
 
 
-@_query()
+@_query(f"""with w as (select doc_id, list_filter(string_split_regex({T.ws_sql('text')}, '{T.WS}+'), lambda x: x <> '')[:512] as w from documents),
+i as (select doc_id, len(w) as n, list_transform(w, lambda x: 1 + list_sum(list_transform(range(octet_length(encode(x))), lambda i: (i + 1) * cast('0x' || substr(hex(encode(x)), 2 * i + 1, 2) as integer))) % 30000) as ids from w)
+select doc_id, cast(n as integer) as n_ids, md5(array_to_string(list_concat(ids, list_transform(range(512 - n), lambda i: 0)), ',')) as ids_md5 from i""")
 def tokenise_pad(spark, sf_dir):
     rows = dataset.tokenised(_docs(spark, sf_dir).select("doc_id", "text"), WordTokenizer(), 512)
     ids = F.array_join(F.transform("input_ids", lambda x: x.cast("string")), ",")

@@ -26,6 +26,10 @@ class PageConnector(Protocol):
     def fetch(self, url: str) -> tuple[int, str]: ...
 
 
+class PictureConnector(Protocol):
+    def fetch(self, url: str) -> tuple[int, bytes]: ...
+
+
 class Annotator(Protocol):
     def complete(self, request: Request) -> str: ...
 
@@ -42,6 +46,10 @@ class Trainer(Protocol):
     def train(self, rows, config, folder: str) -> list[dict]: ...
 
 
+class Hub(Protocol):
+    def push(self, path: str, repo: str, kind: str, token: str) -> str: ...
+
+
 @dataclass(frozen=True)
 class Request:
     request_id: str
@@ -98,7 +106,8 @@ def chat_payload(request: Request, model: str, temperature: float = 0.2) -> dict
         pictures = [{"type": "image_url", "image_url": {"url": "data:{};base64,{}".format(*_inline(p))}} for p in request.images]
         content = [{"type": "text", "text": request.user_message}, *pictures]
     system = [{"role": "system", "content": request.system_prompt}] if request.system_prompt else []
-    return {"model": model, "temperature": temperature, "messages": [*system, {"role": "user", "content": content}], **request.generation_config}
+    messages = [*system, {"role": "user", "content": content}]
+    return {"model": model, "temperature": temperature, "messages": messages, "response_format": {"type": "json_object"}, **request.generation_config}
 
 
 def chat_text(body: dict) -> str:
@@ -112,9 +121,9 @@ def parts_payload(request: Request, temperature: float = 0.2) -> dict:
     for p in request.images:
         kind, data = _inline(p)
         parts.append({"inline_data": {"mime_type": kind, "data": data}})
-    body: dict = {"contents": [{"role": "user", "parts": parts}], "generationConfig": {"temperature": temperature, **request.generation_config}}
+    body: dict = {"contents": [{"role": "user", "parts": parts}], "generationConfig": {"responseMimeType": "application/json", "temperature": temperature, **request.generation_config}}
     if request.system_prompt:
-        body["system_instruction"] = {"parts": [{"text": request.system_prompt}]}
+        body["systemInstruction"] = {"parts": [{"text": request.system_prompt}]}
     return body
 
 
@@ -147,6 +156,13 @@ class FixedPages:
         return 200, f'<p>Before {url}<img src="/a.jpg" width="800" height="600">after<img src="b.jpg" width="10" height="10"></p>'
 
 
+class FixedPictures:
+    """The first bytes of a picture of 800 by 600."""
+
+    def fetch(self, url: str) -> tuple[int, bytes]:
+        return 200, b"\x89PNG\r\n\x1a\n\x00\x00\x00\rIHDR" + (800).to_bytes(4, "big") + (600).to_bytes(4, "big")
+
+
 class FixedAnnotator:
     """Answers by what the system prompt asks for; output is fenced like a model's."""
 
@@ -178,12 +194,12 @@ class EchoGenerator:
 
 
 class WordTokenizer:
-    """Ids by hashing words, for padding and truncation without a vocabulary file."""
+    """Ids by the bytes of a word and their places, for padding and truncation without a vocabulary file."""
 
     pad = 0
 
     def encode(self, text: str) -> list[int]:
-        return [1 + sum(w.encode()) % 30_000 for w in text.split()]
+        return [1 + sum(i * b for i, b in enumerate(w.encode(), 1)) % 30_000 for w in text.split()]
 
 
 class CurveTrainer:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -51,10 +52,26 @@ def log_metrics(path: str, records: list[dict]) -> str:
 
 
 def manifest(folder: str, summary: dict) -> str:
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, "manifest.json")
+    return document(os.path.join(folder, "manifest.json"), summary)
+
+
+def document(path: str, value: object) -> str:
+    """One JSON value as a file of the driver."""
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:
-        json.dump(summary, f, indent=2, ensure_ascii=False)
+        json.dump(value, f, indent=2, ensure_ascii=False, default=str)
+    return path
+
+
+def write_once(folder: str, name: str, content: bytes) -> str:
+    """Write a file under its whole name at once, unless it is there already; its path."""
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    if not os.path.exists(path):
+        part = f"{path}.{uuid.uuid4().hex}"
+        with open(part, "wb") as f:
+            f.write(content)
+        os.replace(part, path)
     return path
 
 
@@ -63,18 +80,8 @@ def image_files(df: DataFrame, folder: str) -> DataFrame:
     there already is left alone."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(folder, exist_ok=True)
         for b in batches:
-            paths = []
-            for name, content in zip(b["name"], b["content"]):
-                path = os.path.join(folder, name)
-                if not os.path.exists(path):
-                    part = f"{path}.{os.getpid()}"
-                    with open(part, "wb") as f:
-                        f.write(bytes(content))
-                    os.replace(part, path)
-                paths.append(path)
-            yield pd.DataFrame({"name": b["name"], "path": paths})
+            yield pd.DataFrame({"name": b["name"], "path": [write_once(folder, n, bytes(c)) for n, c in zip(b["name"], b["content"])]})
 
     return df.select("name", "content").mapInPandas(run, "name string, path string")
 

@@ -1,10 +1,12 @@
 import json
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera import cli
+from tessera.operators import annotate
 from tessera.plans import decisions, registry, report
 from tessera.plans.pipeline import Pipeline
 from tessera.sources import readers, writers
@@ -119,7 +121,11 @@ def settings(tmp_path, **more):
 def test_full_run(spark, tmp_path):
     out = Pipeline(spark, settings(tmp_path, max_queries=3, serper_top_results=2, collect_images=True)).run()
     shown = spark.read.json(str(tmp_path / "run" / "collect" / "images.json")).collect()
-    assert len(shown) == 6 and all(r.img_url.endswith(".example.org/a.jpg") and r.context_after.startswith(" after") for r in shown)
+    assert len(shown) == 6 and all(r.img_url == "/a.jpg" and r.context_text_after.startswith(" after") and os.path.getsize(r.file_path) == 24 for r in shown)
+    about = json.loads((tmp_path / "run" / "collect" / "metadata.json").read_text("utf-8"))
+    assert about["num_images"] == 6 and about["num_samples"] == 6 and about["provider"] == "serper"
+    assert datetime.fromisoformat(about["collected_at"]).tzinfo is not None
+    assert spark.read.json(about["raw_result_path"]).count() == 6
     assert out["mode"] == "full" and out["sft"]["num_items"] == 6 and out["sft"]["num_examples"] == 36
     text = open(out["report_path"], encoding="utf-8").read()
     places = [text.index(f"## {s}") for s in ("Dataset Summary", "Agent Decisions", "Selected Components", "Training Iterations", "Failure Clusters", "Error Analysis")]
@@ -133,6 +139,7 @@ def test_agentic_run_searches_and_retries(spark, tmp_path):
     assert len(runs) == 2 and runs[1]["config"]["max_steps"] == runs[0]["config"]["max_steps"] + 50
     assert [r["stage"] for r in report.records(str(tmp_path / "run" / "agent_decisions.jsonl"))] == ["decide_modality", "select_components", "suggest_training_adjustments", "suggest_training_adjustments", "analyze_errors"]
     assert out["component_selection"]["hf_model_id"] == "m" and out["cluster_preview"]["clusters"]
+    assert json.loads((tmp_path / "run" / "eval" / "cluster_preview.json").read_text("utf-8")) == out["cluster_preview"]
 
 
 def test_guards(spark, tmp_path):
@@ -176,3 +183,46 @@ def test_annotation_mode_guard(spark, tmp_path):
     for mode, said in (("image", "examples_of_images"), ("sound", "unknown")):
         with pytest.raises(ValueError, match=said):
             Pipeline(spark, settings(tmp_path, sft_mode=mode)).examples(texts)
+
+
+class Hub:
+    def push(self, path, repo, kind, token):
+        if kind == "adapter":
+            raise OSError("no space")
+        return f"{repo}:{token}"
+
+
+def test_split_and_publishing(spark, tmp_path):
+    for split, n in (("train", 5), ("test", 3)):
+        spark.range(n).selectExpr(f"concat('{split} ', id) as text").write.parquet(str(tmp_path / "set" / split))
+    more = {"mode": "workflow", "data_path": str(tmp_path / "set"), "eval_split": "test", "hf_dataset_repo": "d", "hf_adapter_repo": "o/a", "hf_username": "u", "hf_token": "t"}
+    out = Pipeline(spark, settings(tmp_path, **more), hub=Hub()).run()
+    assert sorted(r.input for r in readers.predictions(spark, out["predictions_path"]).collect()) == ["test 0", "test 1", "test 2"]
+    assert out["hub"] == {"dataset_repo_id": "u/d:t", "adapter_error": "no space"}
+    assert json.loads((tmp_path / "run" / "manifest.json").read_text("utf-8"))["sample_count"] == 5
+    assert "hub" not in Pipeline(spark, settings(tmp_path, **more)).run()
+
+
+def test_export_and_manifest(spark, tmp_path):
+    spark.createDataFrame([(1, None), (2, "é")], "a int, b string").coalesce(1).write.parquet(str(tmp_path / "p"))
+    writers.parquet_to_jsonl(spark, str(tmp_path / "p"), str(tmp_path / "j"))
+    lines = [x for f in (tmp_path / "j").glob("part-*") for x in f.read_text("utf-8").splitlines()]
+    assert sorted(lines) == ['{"a":1,"b":null}', '{"a":2,"b":"é"}']
+    path = writers.manifest(str(tmp_path / "m" / "n"), {"é": [1]})
+    assert path.endswith("manifest.json") and json.loads(open(path, encoding="utf-8").read()) == {"é": [1]}
+
+
+def test_image_prompt(spark):
+    rows = spark.createDataFrame([("Cats",), ("",), (None,)], "hint string").select(annotate.image_prompt("hint", "fr").alias("p")).collect()
+    plain = annotate.IMAGE_TASK.format(language="fr")
+    assert [r.p for r in rows] == [plain + "\nTopic: Cats", plain, plain]
+
+
+def test_journal(tmp_path):
+    journal = report.Journal(str(tmp_path / "r"), lr=1)
+    journal.log({"loss": 2.0}, 1)
+    journal.log({"loss": 1.0})
+    journal.log_artifact("a.bin", "model")
+    assert journal.metrics == [{"step": 1, "loss": 2.0}, {"step": None, "loss": 1.0}] and journal.artifacts == [{"path": "a.bin", "type": "model"}] and journal.config == {"lr": 1}
+    text = open(journal.finalize(dataset_summary={"n": 3}, component_selection={}, iterations=[], cluster_preview={}, error_analysis={}), encoding="utf-8").read()
+    assert '"n": 3' in text and text.startswith("# ")
