@@ -36,14 +36,46 @@ def test_rows_match_brute_force(spark, docs, monkeypatch, small_blocks):
     assert got == plain(rows)
 
 
-def test_passages_shared_by_many_and_loops(spark):
-    rng = random.Random(9)
+@pytest.mark.parametrize("cell, fan, shard, lanes", [(None, 2, 700, None), (14, 2, 700, 1), (6, 2, 1 << 20, None), (9, 1, 1 << 20, 3), (8, 3, 400, 5)])
+def test_narrow_sketches_and_chunks_change_nothing(spark, monkeypatch, cell, fan, shard, lanes):
+    made, used = substrings.split_for, []
+
+    def narrowed(size):
+        split = made(size, cell)
+        split = split._replace(lanes=lanes or split.lanes)
+        used.append(split)
+        return split
+
+    for name, value in (("split_for", narrowed), ("FAN_BITS", fan), ("SHARD_BYTES", shard), ("BLOCK_BYTES", 1500)):
+        monkeypatch.setattr(substrings, name, value)
+    rows = passages(9)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substrings.digests(spark, df).collect())
+    assert got == plain(rows)
+    assert used[0].second > 0 and used[0].first + used[0].second <= used[0].cell
+
+
+def test_splits_grow_with_the_input():
+    small, large = substrings.split_for(30 << 30), substrings.split_for(100 << 40)
+    assert small.second == 0 and small.cell >= 36
+    assert large.first <= substrings.FAN_BITS and large.second <= substrings.FAN_BITS
+    assert (100 << 40) >> (large.first + large.second) <= substrings.SHARD_BYTES
+    assert (100 << 40) // (large.lanes << large.first) <= substrings.SHARD_BYTES and 1 << large.cell >= 4 * (100 << 40)
+
+
+def passages(seed):
+    rng = random.Random(seed)
     words = [f"w{i}" for i in range(500)]
     passage = " ".join(rng.choices(words, k=60))
     rows = []
     for i in rng.sample(range(1000), 120):
         own = " ".join(rng.choices(words, k=rng.choice([3, 30, 90])))
         rows.append((i, own + " " + passage + " " + own if i % 3 else " ".join(["loop"] * (i % 40)) + "\n" + own))
+    return rows
+
+
+def test_passages_shared_by_many_and_loops(spark):
+    rows = passages(9)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substrings.digests(spark, df).collect())
     assert got == plain(rows)
