@@ -29,7 +29,8 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
-_ID = "<urn:tessera:page:%s>"
+#: The page, and what tells its record from others: the payload's digest where revisits refer to it, else bundle and number.
+_ID = "<urn:tessera:page:%s:%s>"
 _INDEX = pa.schema([("bundle", pa.string()), ("page_id", pa.int64()), ("frame", pa.int32()), ("frame_at", pa.int64()), ("record_at", pa.int32()), ("record_bytes", pa.int32())])
 INDEX_SCHEMA = "bundle string, page_id long, frame int, frame_at long, record_at int, record_bytes int"
 _READ = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string())])
@@ -41,15 +42,19 @@ def _uri(url: str) -> str:
     return "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None, revisit: bool = False) -> bytes:
-    """One WARC/1.1 record; a revisit keeps length and digest of the payload that it leaves out."""
-    head = [b"WARC/1.1", b"WARC-Type: " + (b"revisit" if revisit else b"response"), b"WARC-Record-ID: " + (_ID % page_id).encode(), b"WARC-Date: 1970-01-01T00:00:00Z"]
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None, revisit: bool = False, mark: str | None = None) -> bytes:
+    """One WARC/1.1 record; a revisit keeps length and digest of the payload that it leaves out.
+
+    The identifier has the payload's digest, or `mark` in its place for records that no revisit refers to.
+    """
+    digest = hashlib.sha1(payload)
+    head = [b"WARC/1.1", b"WARC-Type: " + (b"revisit" if revisit else b"response"), b"WARC-Record-ID: " + (_ID % (page_id, mark or digest.hexdigest())).encode(), b"WARC-Date: 1970-01-01T00:00:00Z"]
     if url is not None:
         head.append(b"WARC-Target-URI: " + _uri(url).encode())
-    head.append(b"WARC-Payload-Digest: sha1:" + base64.b32encode(hashlib.sha1(payload).digest()))
+    head.append(b"WARC-Payload-Digest: sha1:" + base64.b32encode(digest.digest()))
     block = _HTTP % len(payload)
     if revisit:
-        head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: " + (_ID % refers_to).encode(), b"WARC-Truncated: length"]
+        head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: " + (_ID % (refers_to, digest.hexdigest())).encode(), b"WARC-Truncated: length"]
     else:
         block += payload
     head += [b"Content-Type: application/http;msgtype=response", b"Content-Length: %d" % len(block)]
@@ -70,7 +75,7 @@ def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
 def described(head: dict[str, str], block: bytes) -> tuple:
     """page_id, payload length, hex digest, type, refers_to and url of a record; a kept payload is checked against its digest."""
     number = lambda v: None if v == "None" else int(v)
-    own = lambda v: number(v.removeprefix("<urn:tessera:page:").removesuffix(">"))
+    own = lambda v: number(v.removeprefix("<urn:tessera:page:").partition(":")[0])
     http, payload = block.split(b"\r\n\r\n", 1)
     size = int(http.rsplit(b"Content-Length: ", 1)[1])
     digest = base64.b32decode(head["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
@@ -150,7 +155,8 @@ def fetch(uri: str, frame: int, record_at: int) -> tuple:
 
 
 def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, html and `first`: the page whose record holds the payload, null where the row keeps its own.
+    """page_id, url, html, `first`: the page whose record holds the payload, null where the row keeps its own; and `told`:
+    whether revisits refer to the row's own record.
 
     The largest page_id among equal payloads is found by a pre-aggregated group on digest and length; only groups of
     two rows or more are joined back, so a hot payload is one build row and its many rows are split by adaptive execution.
@@ -161,29 +167,36 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     first = rows.select("page_id", key.alias("key")).where("key is not null").groupBy("key").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
     spread = F.coalesce(key, F.concat(F.lit("-"), F.coalesce(F.col("page_id").cast("string"), F.lit(""))))  # small payloads meet nothing and are dealt out
     joined = rows.withColumn("key", spread).join(first.hint("shuffle_hash"), "key", "left")
-    return joined.select("page_id", "url", "html", F.when(F.col("first") != F.coalesce("page_id", F.lit(-(1 << 63))), F.col("first")).alias("first"))
+    other = F.col("first") != F.coalesce("page_id", F.lit(-(1 << 63)))
+    return joined.select("page_id", "url", "html", F.when(other, F.col("first")).alias("first"), F.coalesce(~other, F.lit(False)).alias("told"))
 
 
 def write_archives(spark: SparkSession, pages: DataFrame, folder: str | None = None, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES, **cols) -> DataFrame:
     """Write a WARC record per row into bundles under `folder` and return the index table.
 
-    A null html is an empty payload; rows with equal page_id share a record identifier and each has its own index row; a
-    revisit refers to the response with the largest page_id. An empty table writes nothing. Bundles carry fresh names and
+    A null html is an empty payload; each row has its own record identifier and index row, rows of equal page_id too; a
+    revisit refers to the response with the largest page_id, of repeated rows to the first that a task meets. An empty table writes nothing. Bundles carry fresh names and
     count only through committed index rows, so a lost executor's half-written file is never read.
     """
     folder = folder or scratch(spark, "warc")
 
     def run(batches):
-        writer, found = None, []
+        writer, found, met = None, [], set()
 
         def closed():
             writer.close()
             return record_batch(_INDEX, [list(c) for c in zip(*found)])
 
         for b in slices(batches, "html"):
-            for page, url, html, first in zip(*(b.column(i).to_pylist() for i in range(4))):
-                writer = writer or BundleWriter(f"{folder}/{uuid.uuid4().hex}.warc.zst")
-                data = record(page, url, html.encode(), first, first is not None)
+            for page, url, html, first, told in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if writer is None:
+                    name = uuid.uuid4().hex
+                    writer = BundleWriter(f"{folder}/{name}.warc.zst")
+                payload = html.encode()
+                key = (page, hashlib.sha1(payload).digest()) if told else None
+                mark = None if told and key not in met else f"{name}.{len(found)}"
+                met |= {key} if told else set()
+                data = record(page, url, payload, first, first is not None, mark)
                 found.append((writer.uri, page, *writer.add(data), len(data)))
                 if writer.raw >= bundle_bytes:
                     yield closed()

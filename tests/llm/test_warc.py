@@ -2,6 +2,7 @@ import hashlib
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import warc
 from tessera.llm.common import get
@@ -45,6 +46,26 @@ def test_round_trip(spark, pages):
         assert sum(len(f) for f in warc.frames(bundle)) == sum(r.record_bytes for r in own) == sum(t[2] for t in table)
 
 
+def test_identifiers_are_different_and_revisits_find_theirs(spark, pages):
+    again = pages.unionByName(pages.where("page_id in (5, 7)")).unionByName(pages.where("page_id = 11").withColumn("page_id", F.lit(14)))
+    again = again.unionByName(pages.where("page_id = 12").withColumn("html", F.lit("b" * 1000)))
+    index = warc.write_archives(spark, again.coalesce(1))
+    heads = []
+    for bundle in {r.bundle for r in index.collect()}:
+        for data in warc.frames(bundle):
+            at = 0
+            while at < len(data):
+                head, _, at = warc.parse(data, at)
+                heads.append(head)
+    ids = {h["WARC-Record-ID"]: h for h in heads}
+    assert len(ids) == len(heads) == again.count()
+    referring = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(referring) >= 4
+    for h in referring:
+        kept = ids[h["WARC-Refers-To"]]
+        assert kept["WARC-Type"] == "response" and kept["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
+
+
 def test_small_bundles_and_empty_table(spark, pages, monkeypatch):
     monkeypatch.setattr(warc, "FRAME_BYTES", 900)
     index = warc.write_archives(spark, pages, bundle_bytes=3000)
